@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tablewright.functions.text import BLANK
 
@@ -57,7 +58,7 @@ def indel_percent(a: str, b: str) -> int:
     return int((1.0 - distance / total) * 100)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def _indel_score(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(
         [
