@@ -17,7 +17,7 @@ from tablewright.functions import jobs, names, similarity, text
 from tablewright.operators import candidates, consolidate, dedupe, lookup, profile
 from tablewright.plans.jobs import add_job_facts, backfill_postal_codes, clean_table
 from tablewright.rules import DEFAULT_RULES
-from tablewright.shared import work_folder
+from tablewright.shared import fan_out, work_folder
 from tablewright.sources import delimited, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The needed columns of a table, on every core even if the file is one row group."""
+    return fan_out(table(spark, sf_dir, name).select(*columns))
+
+
 # ----------------------------------------------------------------- derived inputs
 # Every expression below is valid in Spark SQL and in DuckDB alike.
 
@@ -104,13 +109,16 @@ _ADS_SQL = _select(_AD_COLUMNS, "orders")
 
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders seen as job ads with every kind of error the detectors know."""
-    return table(spark, sf_dir, "orders").select(
-        *[F.expr(e).alias(n) for n, e in _AD_COLUMNS.items()]
+    orders = spread_table(
+        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+        "o_orderpriority",
     )
+    return orders.select(*[F.expr(e).alias(n) for n, e in _AD_COLUMNS.items()])
 
 
 def ad_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_AD_TEXT).alias("ad"))
+    orders = spread_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return orders.select("o_orderkey", F.expr(_AD_TEXT).alias("ad"))
 
 
 _AD_TEXTS_SQL = f"SELECT o_orderkey, {_AD_TEXT} AS ad FROM orders"
@@ -137,7 +145,11 @@ _LINE = (
        FROM orders""",
 )
 def delimited_parse(spark, sf_dir):
-    lines = table(spark, sf_dir, "orders").select(F.expr(_LINE).alias("line"))
+    orders = spread_table(
+        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+        "o_orderpriority",
+    )
+    lines = orders.select(F.expr(_LINE).alias("line"))
     header = "_JobID_ _§_*STATUS*_§_Priority_§__Date__§_geo_lat_§_extra".replace(" ", "")
     return delimited.typed(delimited.split_lines(lines, header))
 
@@ -198,7 +210,7 @@ def strip_tags(spark, sf_dir):
     + " AS plain FROM pages",
 )
 def clean_markup(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages", "page_id", "html").select(
         "page_id", text.clean_markup(F.col("html")).alias("plain")
     )
 
@@ -630,24 +642,71 @@ def spelling_errors(spark, sf_dir):
 
 # ---------------------------------------------------- similarity and consolidation
 
-# Bit-parallel common subsequence of a and b (up to 100 characters) in plain integers.
-_BITS = "(list_sum(list_transform(range(0, length(a)), lambda i: CASE WHEN substr(a, CAST(i + 1 AS BIGINT), 1) = c THEN CAST(1 AS HUGEINT) << CAST(i AS INTEGER) ELSE CAST(0 AS HUGEINT) END)))"
+def _score_sql(source: str) -> str:
+    """``source(id, a, b)`` to ``(id, score)``: common subsequence by bit arithmetic, for
+    strings of up to 60 characters."""
+    place = (
+        "CAST(list_sum(list_transform(range(0, length(a)), lambda i: CASE WHEN "
+        "substr(a, CAST(i + 1 AS BIGINT), 1) = c THEN CAST(1 AS BIGINT) << CAST(i AS INTEGER) "
+        "ELSE CAST(0 AS BIGINT) END)) AS BIGINT)"
+    )
+    return f"""
+    (WITH s AS (SELECT id, a, b, (CAST(1 AS BIGINT) << CAST(length(a) AS INTEGER)) - 1 AS full_row,
+                       list_transform(string_split(b, ''), lambda c: {place}) AS places FROM ({source})),
+          r AS (SELECT id, a, b, list_reduce(list_prepend(full_row, places), lambda x, m:
+                    ((x + (x & m)) | (x - (x & m))) & full_row) AS bits FROM s),
+          d AS (SELECT id, length(a) + length(b) AS total,
+                       length(a) + length(b) - 2 * (length(a) - bit_count(bits)) AS distance FROM r)
+     SELECT id, CAST(floor((CAST(1 AS DOUBLE) - distance / total) * 100) AS INTEGER) AS score FROM d)"""
+
+
+_TOKENS = "array_to_string(list_sort(list_filter(string_split({}, ' '), lambda t: t <> '')), ' ')"
+_NAME_PAIRS = (
+    "SELECT DISTINCT p_name AS a, lower(concat(p_type, ' ', p_name)) AS b FROM part"
+)
 
 
-@query("name_scores")
+@query(
+    "name_scores",
+    f"""WITH pairs AS (SELECT row_number() OVER () AS id, * FROM ({_NAME_PAIRS}))
+        SELECT a, b, x.score AS score, y.score AS token_score FROM pairs
+        JOIN {_score_sql("SELECT id, a, b FROM pairs")} x USING (id)
+        JOIN {_score_sql(f"SELECT id, {_TOKENS.format('a')} AS a, {_TOKENS.format('b')} AS b FROM pairs")} y USING (id)""",
+)
 def name_scores(spark, sf_dir):
-    parts = table(spark, sf_dir, "part")
-    brands = parts.select(F.col("p_name").alias("a"), F.concat("p_type", F.lit(" "), "p_name").alias("b"))
-    return brands.distinct().select(
+    pairs = table(spark, sf_dir, "part").select(
+        F.col("p_name").alias("a"), F.lower(F.concat("p_type", F.lit(" "), "p_name")).alias("b")
+    )
+    return pairs.distinct().select(
         "a", "b",
-        similarity.indel_score(F.col("a"), F.lower("b")).alias("score"),
+        similarity.indel_score(F.col("a"), F.col("b")).alias("score"),
         similarity.indel_score(
-            similarity.sorted_tokens(F.col("a")), similarity.sorted_tokens(F.lower("b"))
+            similarity.sorted_tokens(F.col("a")), similarity.sorted_tokens(F.col("b"))
         ).alias("token_score"),
     )
 
 
-@query("consolidate_names")
+# The sequential leader rule as a walk over the names in rank order.
+_CONSOLIDATED = f"""
+    WITH RECURSIVE counted AS (SELECT p_name AS name, count(*) AS n FROM part WHERE p_name IS NOT NULL GROUP BY 1),
+    nodes AS (SELECT row_number() OVER (ORDER BY n DESC, name) AS place, name, n FROM counted),
+    pairs AS (SELECT lo.place * 1000000 + hi.place AS id, lower(lo.name) AS a, lower(hi.name) AS b
+              FROM nodes lo JOIN nodes hi ON lo.place < hi.place),
+    near AS (SELECT id // 1000000 AS lo, id % 1000000 AS hi FROM {_score_sql("SELECT * FROM pairs")} WHERE score >= 85),
+    steps AS (SELECT place, coalesce((SELECT list(lo) FROM near WHERE hi = place), []) AS better FROM nodes),
+    walk AS (SELECT CAST(0 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS led
+             UNION ALL
+             SELECT s.place, CASE WHEN len(list_intersect(w.led, s.better)) > 0 THEN w.led ELSE list_append(w.led, s.place) END
+             FROM walk w JOIN steps s ON s.place = w.place + 1),
+    led AS (SELECT led FROM walk ORDER BY place DESC LIMIT 1),
+    member AS (SELECT place, coalesce(list_min(list_intersect(led, better)), place) AS leader FROM steps, led),
+    canonical AS (SELECT leader, first(name ORDER BY n DESC, length(name), name) AS canonical
+                  FROM member JOIN nodes USING (place) GROUP BY 1)
+    SELECT p_partkey, coalesce(canonical, p_name) AS p_name
+    FROM part LEFT JOIN nodes ON name = p_name LEFT JOIN member USING (place) LEFT JOIN canonical USING (leader)"""
+
+
+@query("consolidate_names", _CONSOLIDATED)
 def consolidate_part_names(spark, sf_dir):
     return consolidate.consolidate_names(table(spark, sf_dir, "part"), "p_name").select(
         "p_partkey", "p_name"
@@ -662,7 +721,7 @@ def name_mapping_of_customers(spark, sf_dir):
 # ------------------------------------------------------------------ duplicate search
 
 def _documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select(
         "doc_id", F.col("text").alias("jobdescription"), F.col("lang").alias("country"),
         F.col("source").alias("url"),
     )

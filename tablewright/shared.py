@@ -53,3 +53,13 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, *columns)
+
+
+def fan_out(scan: DataFrame) -> DataFrame:
+    """Spread a plain file scan with fewer splits than cores before costly row work.
+
+    Small files hold a single row group and would keep one core busy; a large input
+    already has many splits and is returned unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

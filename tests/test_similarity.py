@@ -29,7 +29,7 @@ def test_sorted_tokens(spark):
     assert df.select(similarity.sorted_tokens(F.col("s"))).first()[0] == "B a a b"
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_leaders_by_edges(spark, seed):
     rnd = random.Random(seed)
     nodes = list(range(40))
@@ -41,7 +41,7 @@ def test_leaders_by_edges(spark, seed):
     assert got == brute.leaders(nodes, lambda a, b: (a, b) in pairs)
 
 
-@pytest.mark.parametrize("head", [2, 5, 100])
+@pytest.mark.parametrize("head", [3, 100])
 def test_leaders_by_blocks(spark, head):
     rnd = random.Random(head)
     blocks = [(b, n) for b in range(6) for n in rnd.sample(range(60), rnd.choice([4, 20, 45]))]
@@ -76,7 +76,7 @@ def _names(seed, size):
     return [changed(rnd.choice(base)) for _ in range(size)] + ["", None, None]
 
 
-@pytest.mark.parametrize("score, head", [(85, 256), (85, 4), (76, 64), (95, 256)])
+@pytest.mark.parametrize("score, head", [(85, 256), (85, 16), (76, 64)])
 def test_name_mapping_equals_the_sequential_rule(spark, score, head):
     names = _names(score + head, 250) + [f"Anbieter {i:05}" for i in range(60)]
     df = spark.createDataFrame([(n,) for n in names], "name string")
