@@ -236,6 +236,7 @@ class Rules:
     n_neighbors: int = 5
     max_df: float = 0.95
     min_cosine: float = 0.3
+    exact_group_rows: int = 1000  # groups up to this size are searched without a floor
 
     # name consolidation
     name_score: int = 85

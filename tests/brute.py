@@ -51,13 +51,15 @@ def name_mapping(names, score):
 
 
 def neighbours(rows, k=5, floor=0.0):
-    """``rows`` of (rank, key, group, text) to undirected neighbour pairs."""
+    """``rows`` of (rank, key, group, text) to undirected neighbour pairs; ``floor`` is the
+    least cosine, or a function giving it for a group size."""
     groups = collections.defaultdict(list)
     for row in sorted(rows):
         groups[row[2]].append(row)
     pairs = set()
     for members in groups.values():
         n = len(members)
+        least = floor(n) if callable(floor) else floor
         keys = [m[1] for m in members]
         everyone = {tuple(sorted((a, b))) for i, a in enumerate(keys) for b in keys[:i]}
         counts = []
@@ -81,7 +83,7 @@ def neighbours(rows, k=5, floor=0.0):
                     sim = sum(w * vectors[j].get(t, 0.0) for t, w in vectors[i].items())
                     same = tokens[i] == tokens[j]
                     sim = 1.0 if same else round(sim, 9)
-                    if same or (sim > 0 and sim >= floor):
+                    if same or (sim > 0 and sim >= least):
                         near.append((-sim, j))
             for _, j in sorted(near)[: k - 1]:
                 pairs.add(tuple(sorted((keys[i], keys[j]))))
