@@ -8,12 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, packing, token_counts, topk
+from tablewright.llm import byte_bpe, language, packing, quality, token_counts, topk
 from tablewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.train(documents)
+    found = language.identify(documents, model)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred",
+                        "score", "n_words", F.size("spans").alias("n_spans"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -28,6 +36,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.classify(documents, quality.train(documents))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -59,8 +72,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 QUERIES: dict[str, Query] = {
+    "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_counts": op4_token_counts,
+    "op6_quality": op6_quality,
     "op7_topk": op7_topk,
     "op8_packing": op8_packing,
 }
