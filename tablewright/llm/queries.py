@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, language, packing, quality, token_counts, topk
+from tablewright.llm import byte_bpe, language, licenses, packing, quality, token_counts, topk
 from tablewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         pattern=public_tokenizers.PATTERN)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform("base", lambda p: p["first"].cast("long"))
+    names = F.array_sort(F.array_distinct(F.transform("base", lambda p: p["label"])))
+    return found.withColumn("base", base).select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(names, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+        F.size("places").cast("long").alias("n_places"))
+
+
 _TOP_K = """
 WITH rows AS (
   SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
@@ -78,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op7_topk": op7_topk,
     "op8_packing": op8_packing,
+    "op9_licenses": op9_licenses,
 }
 
 ORACLES: dict[str, str] = {"op7_topk": _TOP_K}
