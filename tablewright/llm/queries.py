@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, language, licenses, packing, quality, token_counts, topk
+from tablewright.llm import (
+    byte_bpe, fingerprints, language, licenses, packing, quality, token_counts, topk,
+)
 from tablewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +68,16 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("places").cast("long").alias("n_places"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        fingerprints.as_text(F.col("samples")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_samples")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("samples"), F.col("edited_samples")).alias("near_edited"),
+        fingerprints.likeness(F.col("samples"), F.col("next_samples")).alias("near_next"))
+
+
 _TOP_K = """
 WITH rows AS (
   SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
@@ -92,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op7_topk": op7_topk,
     "op8_packing": op8_packing,
     "op9_licenses": op9_licenses,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {"op7_topk": _TOP_K}
