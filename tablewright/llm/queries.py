@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    byte_bpe, fingerprints, language, licenses, packing, quality, token_counts, topk,
+    byte_bpe, fingerprints, language, licenses, packing, quality, setsketch, token_counts, topk,
 )
 from tablewright.llm.common import table
 
@@ -38,6 +38,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(
+        table(spark, sf_dir, "documents"), setsketch.Similar(words=2, percent=80)
+    ).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality.classify(documents, quality.train(documents))
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_counts": op4_token_counts,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
     "op7_topk": op7_topk,
     "op8_packing": op8_packing,
