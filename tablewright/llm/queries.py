@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    byte_bpe, fingerprints, language, licenses, packing, quality, setsketch, token_counts, topk,
+    byte_bpe, fingerprints, language, licenses, packing, quality, setsketch, suffix_dedup,
+    token_counts, topk,
 )
 from tablewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"), window=200)
+    lengths = F.transform("spans", lambda s: (s["end"] - s["begin"]).cast("long"))
+    return suffix_dedup.removed(found).select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language.train(documents)
@@ -103,6 +113,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_counts": op4_token_counts,
