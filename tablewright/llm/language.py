@@ -361,3 +361,29 @@ def identify(
         "lang_pred string, score double, n_words long",
         "spans array<struct<lang: string, first: int, words: int>>"])
     return rows.mapInArrow(predict, schema)
+
+
+def kept(df: DataFrame, model: Model | None, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text has a language with a mean marginal of at least
+    ``least``; all columns stay.  Without a model only rows without a letter go."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(shared.value) if shared.value else None
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays([batch.column(text)], names=["text"])
+            good, done = [], 0
+            for block in text_blocks([named], 4 << 20):
+                texts = texts_of(block)
+                done += len(texts)
+                if labeller is None:
+                    good += [bool(WORD.search(t)) for t in texts]
+                    continue
+                lengths, probable = labeller.label(texts)
+                at = 0
+                for n in lengths:
+                    good.append(bool(n) and probable[at:at + n].mean(axis=0).max() >= least)
+                    at += n
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return df.mapInArrow(choose, df.schema)

@@ -278,6 +278,24 @@ def train(
     return fit_scorer(sorted(r["text"] or "" for r in rows.collect()), model)
 
 
+def kept(df: DataFrame, scorer: Scorer, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text scores at least ``least``; all columns stay."""
+    shared = df.sparkSession.sparkContext.broadcast(scorer)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, float] = {}
+        for batch in batches:
+            good = []
+            for value in batch.column(text).to_pylist():
+                words = (value or "").split()
+                if len(known) > 300_000:
+                    known.clear()
+                good.append(shared.value.score(words, Counter(words), known) >= least)
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return df.mapInArrow(choose, df.schema)
+
+
 def classify(
     df: DataFrame, scorer: Scorer, least: float = 0.5, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

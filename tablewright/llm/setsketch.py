@@ -355,6 +355,17 @@ def links_of(df: DataFrame, held: DataFrame, rule: Similar, key: str, text: str)
     return stars.filter(settled).select("a", "b").union(rest.filter(settled).select("a", "b"))
 
 
+def _labelled(
+    df: DataFrame, rule: Similar, key: str, text: str
+) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and ``(class, label)``: the component of every class."""
+    held = sketches(df, rule, key, text)
+    labels = components(links_of(df, held, rule, key, text))
+    classes = held.filter("class IS NOT NULL").select("class").distinct()
+    return held, classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
+        "class", F.coalesce("label", "class").alias("label"))
+
+
 def near_duplicates(
     df: DataFrame, rule: Similar = Similar(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -367,16 +378,37 @@ def near_duplicates(
     null keys count as reachable but are never the smallest unless nothing else is.  An empty
     table gives an empty table.
     """
-    held = sketches(df, rule, key, text)
-    labels = components(links_of(df, held, rule, key, text))
-    class_keys = held.filter("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("least"))
-    grouped = class_keys.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-        "class", "least", F.coalesce("label", "class").alias("label"))
-    smallest = grouped.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_class = grouped.join(smallest, "label").select("class", "component_id")
-    return held.join(of_class, "class", "left").select(
-        F.col("key").alias(key), F.col("size").alias("n_shingles"), "class",
-        F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id"))
-        .alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"),
-                                    F.col(key).isNull() & F.col("component_id").isNull()))
+    held, labels = _labelled(df, rule, key, text)
+    least = held.filter("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("least"))
+    smallest = least.join(labels, "class").groupBy("label").agg(
+        F.min("least").alias("component_id"))
+    of_class = labels.join(smallest, "label").select("class", "component_id")
+    own = F.col("key").eqNullSafe(F.col("component_id"))
+    return held.join(of_class, "class", "left").withColumn(
+        "component_id", F.when(F.col("class").isNull(), F.col("key")).otherwise(
+            F.col("component_id"))
+    ).select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "class",
+             "component_id", own.alias("kept"))
+
+
+def first_of_each(
+    df: DataFrame, rule: Similar = Similar(), key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``df`` with one row of every group of near duplicates: of those with the smallest key
+    (null keys last) one.  Rows without words stay.  All columns stay; their names cannot
+    clash with the operator's."""
+    held, labels = _labelled(df, rule, key, text)
+    chosen = held.join(labels, "class").groupBy("label").agg(F.min(F.struct(
+        F.col("key").isNull().alias("missing"), "key", "text_hash")).alias("first"))
+    chosen = chosen.select(F.col("first.key").alias("first_key"),
+                           F.col("first.text_hash").alias("first_hash"))
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("all"),
+        F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
+        F.coalesce(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"))
+    same = (F.col("text_hash") == F.col("first_hash")) & F.col("key").eqNullSafe(
+        F.col("first_key"))
+    # equal rows of the same key: one of them
+    one = rows.filter("worded").join(chosen, same, "left_semi").groupBy(
+        "key", "text_hash").agg(F.first("all").alias("all"))
+    return rows.filter("NOT worded").select("all").union(one.select("all")).select("all.*")

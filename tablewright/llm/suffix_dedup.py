@@ -434,3 +434,39 @@ def removed(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFram
         lambda i: F.substring(
             data, bounds[2 * i] + 1, bounds[2 * i + 1] - bounds[2 * i]))
     return df.withColumn("kept", F.aggregate(parts, F.lit(b""), lambda a, b: F.concat(a, b)))
+
+
+def stripped(
+    df: DataFrame, window: int = 200, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``df`` with the repeated strings taken out of ``text``; all columns and their order stay
+    (a column ``n_chars`` is counted anew).  A row whose text had bytes and has none left
+    goes; null and empty texts stay.  Where a span begins or ends inside a character, the rest
+    of that character goes too."""
+    columns = df.columns
+    whole = F.col(f"`{text}`")
+    # All columns travel in one struct, so their names cannot clash.
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("all"), whole.alias("text"),
+        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("row"),
+        F.xxhash64(whole).alias("hash"))
+    found = repeated_spans(df, window, key, text).filter(F.size("spans") > 0).select(
+        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("row"),
+        F.xxhash64(whole).alias("hash"), "spans").dropDuplicates(["row", "hash"])
+    clean = removed(rows.join(found, ["row", "hash"], "left").withColumn(
+        "spans", F.coalesce("spans", F.array().cast("array<struct<begin:int,end:int>>"))))
+    # Only a text with a cut character loses replacement characters that it had before.
+    rest = F.col("kept").cast("string")
+    rest = F.when(F.is_valid_utf8(rest), rest).otherwise(
+        F.replace(F.make_valid_utf8(rest), F.lit("\ufffd"), F.lit("")))
+    clean = clean.filter((F.size("spans") == 0) | (F.octet_length("kept") > 0)).withColumn(
+        "left", F.when(F.size("spans") == 0, F.col("text")).otherwise(rest))
+
+    def column(c: str) -> Column:
+        if c == text:
+            return F.col("left")
+        if c == "n_chars":
+            return F.length("left").cast(df.schema[c].dataType)
+        return F.col("all").getField(c)
+
+    return clean.select(*[column(c).alias(c) for c in columns])
