@@ -96,7 +96,7 @@ LABELLERS = {
     "repeated": lambda f: _long(f, _band(f.repeated, f.words, 0.05, 0.25)),
     "variety": lambda f: _long(f, _band(f.words - f.distinct, f.words, 0.7, 0.9)
                                if f.words < 2000 else SILENT),
-    "word_length": lambda f: _long(f, GOOD if 2.5 <= f.letters / f.words <= 15 else BAD),
+    "word_length": lambda f: _long(f, GOOD if 2.5 * f.words <= f.letters <= 15 * f.words else BAD),
 }
 
 
