@@ -210,9 +210,13 @@ def decode(df: DataFrame, ranks_file: str, ids: str = "ids") -> DataFrame:
         for token, rank in ranks.items():
             tokens[rank] = token
         for batch in batches:
+            lists = batch.column(ids)
+            values = np.asarray(lists.flatten())  # null lists have no values
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            # one row's numbers at a time become Python objects
             texts = [
-                b"".join(map(tokens.__getitem__, numbers or ()))
-                for numbers in batch.column(ids).to_pylist()
+                b"".join(map(tokens.__getitem__, values[begin:end].tolist()))
+                for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.binary())],

@@ -40,6 +40,10 @@ class Model:
     start: np.ndarray
 
 
+def _plain(model: Model | None) -> tuple | None:
+    return model and (model.labels, model.weights, model.transitions, model.start)
+
+
 def features(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of all words, one after the other, and where each word's begin."""
     marked = "".join(f"\x02{w}\x03" for w in words)
@@ -322,10 +326,10 @@ def identify(
     an empty table gives an empty table.
     """
     rows = narrowed(df, key=key, text=text)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by buckets x labels
+    shared = df.sparkSession.sparkContext.broadcast(_plain(model))  # buckets x labels at most
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shared.value) if shared.value else None
+        labeller = Labeller(Model(*shared.value)) if shared.value else None
         for block in text_blocks(batches, 4 << 20):
             texts = texts_of(block)
             lengths, probable = labeller.label(texts) if labeller else ([0] * len(texts), None)
@@ -366,10 +370,10 @@ def identify(
 def kept(df: DataFrame, model: Model | None, least: float, text: str = "text") -> DataFrame:
     """The rows of ``df`` whose text has a language with a mean marginal of at least
     ``least``; all columns stay.  Without a model only rows without a letter go."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(_plain(model))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shared.value) if shared.value else None
+        labeller = Labeller(Model(*shared.value)) if shared.value else None
         for batch in batches:
             named = pa.RecordBatch.from_arrays([batch.column(text)], names=["text"])
             good, done = [], 0

@@ -20,7 +20,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +37,28 @@ Pattern = tuple[int, ...]
 
 # --- tokens -----------------------------------------------------------------------------
 
-@lru_cache(maxsize=1)
-def _encoders(tokenizer_file: str, ranks_file: str | None, pattern: str | None):
-    exact = Tokenizer.from_file(tokenizer_file)
-    exact.encode_special_tokens = True
-    if ranks_file is None:
-        return exact, None
-    # Without two white spaces in a row, the pattern's look-ahead never matters.
-    plain = pattern.replace(r"\s+(?!\S)|", "")
-    fast = tiktoken.Encoding("ranks", pat_str=plain, mergeable_ranks=read_ranks(ranks_file),
-                             special_tokens={})
-    return exact, fast
+class Encoder:
+    """Ids of texts by a tokenizer file; texts of common characters without runs of white
+    space by the faster library, if the same vocabulary is given as ranks."""
+
+    def __init__(self, tokenizer_file: str, ranks_file: str | None, pattern: str | None):
+        self.file, self.exact, self.fast = tokenizer_file, None, None
+        if ranks_file is not None:
+            # Without two white spaces in a row, the pattern's look-ahead never matters.
+            plain = pattern.replace(r"\s+(?!\S)|", "")
+            self.fast = tiktoken.Encoding(
+                "ranks", pat_str=plain, mergeable_ranks=read_ranks(ranks_file), special_tokens={})
+
+    def slow(self, text: str) -> list[int]:
+        if self.exact is None:
+            self.exact = Tokenizer.from_file(self.file)
+            self.exact.encode_special_tokens = True
+        return self.exact.encode(text, add_special_tokens=False).ids
+
+    def __call__(self, text: str) -> list[int]:
+        if self.fast and _PLAIN.fullmatch(text) and not _RUN.search(text):
+            return self.fast.encode_ordinary(text)
+        return self.slow(text)
 
 
 #: Texts of these characters are split alike by either library, whatever Unicode version it knows.
@@ -67,14 +77,11 @@ def piece_rows(
     rows = narrowed(df, key=key, text=text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exact, fast = _encoders(tokenizer_file, ranks_file, pattern)
+        encode = Encoder(tokenizer_file, ranks_file, pattern)
         for block in text_blocks(batches):
             owner, piece, start, length, crc = [], [], [], [], []
             for row, value in enumerate(texts_of(block)):
-                if fast and _PLAIN.fullmatch(value) and not _RUN.search(value):
-                    ids = fast.encode_ordinary(value)
-                else:
-                    ids = exact.encode(value, add_special_tokens=False).ids
+                ids = encode(value)
                 ids.append(end_id)
                 packed = np.array(ids, "<u4").tobytes()
                 begin, number = 0, 0
@@ -166,7 +173,7 @@ def _changed(pattern: Pattern, out: Pattern, into: Pattern) -> Pattern:
     return tuple(sorted(rest.elements(), reverse=True))
 
 
-def local_search(plan: Counter[Pattern], capacity: int, steps: int = 20_000) -> Counter[Pattern]:
+def local_search(plan: Counter[Pattern], capacity: int, steps: int = 1_000) -> Counter[Pattern]:
     """Empties underfull bins by moves and exchanges that raise the sum of squared fills.
 
     ``steps`` bounds the exchanges (the effort; every piece stays packed at any bound)."""
@@ -179,7 +186,7 @@ def local_search(plan: Counter[Pattern], capacity: int, steps: int = 20_000) ->
         source = next((p for p in under if p not in settled), None)
         if source is None:
             break
-        for target in reversed(under):
+        for target in under:  # those with the most room first
             if target == source and plan[source] < 2 or sum(target) < sum(source):
                 continue
             gain, give, take = _exchange(target, source, capacity - sum(target))

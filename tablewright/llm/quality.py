@@ -212,6 +212,13 @@ class Scorer:
     bias: float
     votes: VoteModel
 
+    def plain(self) -> tuple:
+        return self.weights, self.bias, self.votes.prior, self.votes.chances
+
+    @classmethod
+    def of(cls, weights: np.ndarray, bias: float, prior: float, chances: np.ndarray) -> Scorer:
+        return cls(weights, bias, VoteModel(prior, chances))
+
     def features(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         words = text.split()
         counts = Counter(words)
@@ -280,9 +287,10 @@ def train(
 
 def kept(df: DataFrame, scorer: Scorer, least: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``df`` whose text scores at least ``least``; all columns stay."""
-    shared = df.sparkSession.sparkContext.broadcast(scorer)
+    shared = df.sparkSession.sparkContext.broadcast(scorer.plain())
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Scorer.of(*shared.value)
         known: dict[str, float] = {}
         for batch in batches:
             good = []
@@ -290,7 +298,7 @@ def kept(df: DataFrame, scorer: Scorer, least: float = 0.5, text: str = "text")
                 words = (value or "").split()
                 if len(known) > 300_000:
                     known.clear()
-                good.append(shared.value.score(words, Counter(words), known) >= least)
+                good.append(model.score(words, Counter(words), known) >= least)
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return df.mapInArrow(choose, df.schema)
@@ -307,10 +315,10 @@ def classify(
     table gives an empty table.
     """
     rows = narrowed(df, key=key, text=text)
-    shared = df.sparkSession.sparkContext.broadcast(scorer)  # bounded by its buckets
+    shared = df.sparkSession.sparkContext.broadcast(scorer.plain())  # bounded by its buckets
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Scorer = shared.value
+        model = Scorer.of(*shared.value)
         words_known: dict[str, float] = {}
         known: dict[str, float] = {}
         for block in text_blocks(batches):
