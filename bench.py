@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -13,11 +14,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tablewright.plans.catalog import QUERIES  # noqa: E402
+from tablewright.shared import intermediate  # noqa: E402
 
 HEADLINES = (
     "delimited_parse", "clean_markup", "normalize_names", "resolve_codes", "job_facts",
     "profile_ads", "profile_documents", "error_report", "consolidate_names",
-    "candidate_pairs_above_floor", "duplicate_records",
+    "candidate_pairs", "candidate_pairs_above_floor", "duplicate_records",
 )
 
 
@@ -32,6 +34,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tablewright-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,7 +42,8 @@ def main() -> None:
     seconds = {}
     for name in HEADLINES:
         start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        with intermediate(spark):
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
     print(json.dumps({

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.text import trimmed
-from tablewright.shared import broadcast_if_small
 
 
 def resolve_codes(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     """Where the whole trimmed value is a code (in any case), put the place.
 
-    Everything else, null included, stays as it was.  The dimension is broadcast
-    when counting shows it is small; a larger one is left to the join planner.
+    Everything else, null included, stays as it was.  Whether the
+    dimension is broadcast is left to the join planner, which knows its size.
     """
     dimension = codes.groupBy("code").agg(F.min("place").alias("place"))
     dimension = dimension.select(
@@ -22,7 +21,7 @@ def resolve_codes(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     value = F.col(f"`{column}`")
     return (
         df.join(
-            broadcast_if_small(dimension), F.upper(trimmed(value)) == F.col("__code"), "left"
+            dimension, F.upper(trimmed(value)) == F.col("__code"), "left"
         )
         .withColumn(column, F.coalesce("__place", value))
         .drop("__code", "__place")

@@ -137,7 +137,9 @@ def _year_outside(df: DataFrame, name: str, rules: Rules) -> Column:
     if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         year = F.year(_column(name))
     else:
-        year = F.year(_column(name).cast("string").try_cast("timestamp"))
+        text = trimmed(_column(name).cast("string"))
+        read = [F.try_to_timestamp(text, F.lit(form)) for form in rules.date_forms]
+        year = F.year(F.coalesce(*read, text.try_cast("timestamp")))
     return (year > rules.last_year) | (year < rules.first_year)
 
 

@@ -25,23 +25,6 @@ ERROR_MARKERS = ("", "??", "na", "n/a", "null")
 # Error taxonomy labels.
 NO_DATA = "Keine Daten"
 NO_ERRORS = "Keine signifikanten Fehler"
-ERROR_TYPES = (
-    "Unzulässige Werte",
-    "Verletzte Attributabhängigkeiten",
-    "Eindeutigkeitsverletzungen",
-    "Verletzte referenzielle Integrität",
-    "Fehlende Werte",
-    "Schreibfehler",
-    "Falsche Werte",
-    "Falsche Referenzen",
-    "Kryptische Werte",
-    "Eingebettete Werte",
-    "Falsche Zuordnungen",
-    "Widersprüchliche Werte",
-    "Transpositionen",
-    "Duplikate",
-    "Datenkonflikte",
-)
 
 MISPLACED_TERMS = ("gmbh", "ag", "bibliothek", "universität", "http", "www")
 DUMMY_VALUES = ("test", "xxx", "123", "unknown")
@@ -232,18 +215,23 @@ class Rules:
     contradictions: tuple[tuple[str, str], ...] = CONTRADICTIONS
     company_stop_words: tuple[str, ...] = COMPANY_STOP_WORDS
 
+    # text dates whose year is checked: the first form that parses counts
+    date_forms: tuple[str, ...] = (
+        "d-M-yyyy", "d.M.yyyy", "d/M/yyyy", "M-d-yyyy", "M/d/yyyy", "yyyy-M-d", "yyyy/M/d",
+        "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy",
+    )
+
     # candidate search
     n_neighbors: int = 5
     max_df: float = 0.95
-    min_cosine: float = 0.3
-    exact_group_rows: int = 1000  # groups up to this size are searched without a floor
+    min_cosine: float = 0.0  # least similarity of a neighbour, in every group
 
     # name consolidation
     name_score: int = 85
 
     # physical tuning: none of these changes a result
     block_head: int = 256
-    posting_slice: int = 20_000
+    block_classes: int = 4096
 
     def with_(self, **changes) -> "Rules":
         """A copy with some values replaced."""

@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_RUN_FOLDERS: list[str] = []
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session without that setting (as in tests) gets a folder of its own.
-    """
+    """Shared folder for intermediate tables: that of the innermost :func:`intermediate`, else
+    ``spark.checkpoint.dir`` or the folder given to ``SparkContext.setCheckpointDir``."""
+    if _RUN_FOLDERS:
+        return _RUN_FOLDERS[-1]
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    configured = configured or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tablewright-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return configured.rstrip("/")
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside go to one run folder, which is removed at the end;
+    so consume results inside."""
+    folder = f"{work_folder(spark)}/run-{uuid.uuid4().hex}"
+    _RUN_FOLDERS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDERS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -38,13 +49,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` stays within ``max_rows``."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Hash rows over all shuffle partitions before costly per-row work.
 

@@ -73,18 +73,23 @@ def to_date(column: Column, date_format: str = DATE_FORMAT) -> Column:
     return moment if has_time else moment.cast("date")
 
 
+def _named(column: str) -> Column:
+    """A column by a name that may hold dots or backticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def typed(raw: DataFrame, date_format: str = DATE_FORMAT, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Cast the columns with a typed role; the others stay text."""
     casts = _casts(raw, date_format, rules)
-    return raw.select(*[casts.get(c, F.col(c)).alias(c) for c in raw.columns])
+    return raw.select(*[casts.get(c, _named(c)).alias(c) for c in raw.columns])
 
 
 def _casts(raw: DataFrame, date_format: str, rules: Rules) -> dict[str, Column]:
     present = set(raw.columns)
-    casts = {c: to_integer(F.col(c)) for c in rules.integer_columns if c in present}
-    casts |= {c: to_number(F.col(c)) for c in rules.number_columns if c in present}
+    casts = {c: to_integer(_named(c)) for c in rules.integer_columns if c in present}
+    casts |= {c: to_number(_named(c)) for c in rules.number_columns if c in present}
     casts |= {
-        c: to_date(F.col(c), date_format) for c in rules.date_columns if c in present
+        c: to_date(_named(c), date_format) for c in rules.date_columns if c in present
     }
     return casts
 
@@ -105,8 +110,8 @@ def rejected_values(
         F.array(
             *[
                 F.when(
-                    casts[c].isNull() & F.col(c).isNotNull(),
-                    F.struct(F.lit(c).alias("column"), F.col(c).alias("value")),
+                    casts[c].isNull() & _named(c).isNotNull(),
+                    F.struct(F.lit(c).alias("column"), _named(c).alias("value")),
                 )
                 for c in checked
             ]
@@ -170,7 +175,7 @@ def split_lines(
     :func:`long_rows_of` (``long_rows="skip"``).
     """
     names = normalized_names(header.strip().split(separator))
-    line = trimmed(F.col(f"`{lines.columns[0]}`"))
+    line = trimmed(_named(lines.columns[0]))
     fields = F.split(line, re.escape(separator), -1)
     rows = lines.select(line.alias("line"), fields.alias("fields"))
     too_long = F.size("fields") > len(names)
@@ -213,7 +218,7 @@ def read_raw(
 def long_rows_of(spark: SparkSession, path: str, separator: str = SEPARATOR) -> DataFrame:
     """Lines with more fields than the header."""
     lines, header = read_lines(spark, path)
-    line = trimmed(F.col(f"`{lines.columns[0]}`"))
+    line = trimmed(_named(lines.columns[0]))
     width = len(header.strip().split(separator))
     return lines.select(line.alias("line")).filter(
         F.size(F.split("line", re.escape(separator), -1)) > width

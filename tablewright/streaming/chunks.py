@@ -54,14 +54,20 @@ def ingest_chunks(
     stopped and new files are added exactly once.
     """
     stream = stream_table(spark, path, **options)
-    run = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    kept = "spark.sql.streaming.numRecentProgressUpdates"  # else only the last hundred chunks
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, str(2**31 - 1))
+    try:
+        run = (
+            stream.writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
+    finally:
+        spark.conf.set(kept, before)
     rows, total = [], 0
     for progress in run.recentProgress:
         if progress["numInputRows"]:

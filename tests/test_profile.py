@@ -91,3 +91,10 @@ def test_report(spark):
 def test_value_frequency(spark):
     rows = profile.value_frequency(one(spark, "c", ["b", "a", "b", None]), "c").collect()
     assert [tuple(r) for r in rows] == [("b", 2), ("a", 1)]
+
+
+def test_text_dates_in_several_forms(spark):
+    outside = ["01-02-2030", "15.06.1999", "2031-01-01", "06/15/1999", "June 3, 2040"]
+    assert errors(one(spark, "date", outside)) == {("date", "Widersprüchliche Werte"): 100.0}
+    inside = ["01-02-2020", "31.12.2019", "12/31/2021", "3 June 2020", "nie"]
+    assert errors(one(spark, "date", inside)) == {("date", None): None}

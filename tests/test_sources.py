@@ -142,3 +142,24 @@ def test_table_and_report_sinks(spark, tmp_path):
     sinks.write_report(df, str(tmp_path / "c"), "csv")
     back = spark.read.csv(str(tmp_path / "c"), header=True, escape='"')
     assert {r.s for r in back.collect()} == {"a", 'q"x'}
+
+
+def test_names_with_dots(spark, tmp_path):
+    path = write(tmp_path / "a.csv", ("_JobID_", "_geo.x_"), ("1", "a"), ("x", "b"))
+    raw = delimited.read_raw(spark, path)
+    assert raw.columns == ["jobid", "geo.x"]
+    assert delimited.typed(raw).collect()[0][1] == "a"
+    assert [tuple(r) for r in delimited.rejected_values(raw).collect()] == [("jobid", "x")]
+
+
+def test_progress_over_more_chunks_than_the_session_remembers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(12):
+        write(tmp_path / "in" / f"{i:02d}.csv", ("_JobID_", "date"),
+              *[(str(4 * i + j), "01-02-2020") for j in range(4)])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        got = ingest_chunks(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert got.rows_read == list(range(4, 49, 4)) and got.table.count() == 48
