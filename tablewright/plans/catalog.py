@@ -18,7 +18,8 @@ from tablewright.operators import candidates, consolidate, dedupe, lookup, profi
 from tablewright.plans.jobs import add_job_facts, backfill_postal_codes, clean_table
 from tablewright.rules import DEFAULT_RULES
 from tablewright.shared import fan_out, work_folder
-from tablewright.sources import delimited, sinks
+from tablewright.sources import codes, delimited, sinks
+from tablewright.streaming.chunks import ingest_chunks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -831,3 +832,81 @@ def duplicate_ads(spark, sf_dir):
         (F.length("lang") / 10).alias("geo_lat"),
     )
     return dedupe.find_duplicates(documents, "doc_id").listing
+
+
+# ------------------------------------------------------------- files, written and scanned
+
+def _folder(spark: SparkSession, label: str) -> str:
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _order_files(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """Orders as delimited files with a header each."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    header = "_JobID__§_*STATUS*_§_Priority_§__Date__§_geo_lat_§_extra"
+    path = _folder(spark, "orders")
+    orders.repartition(files).select(F.expr(_LINE).alias(header)).write.options(
+        header=True, sep="\x01", quote="", encoding="UTF-8").csv(path)
+    return path
+
+
+@query("delimited_scan", ORACLES["delimited_parse"])
+def delimited_scan(spark, sf_dir):
+    return delimited.read_table(spark, _order_files(spark, sf_dir, 3))
+
+
+@query("chunked_scan", ORACLES["delimited_parse"])
+def chunked_scan(spark, sf_dir):
+    found = ingest_chunks(
+        spark, _order_files(spark, sf_dir, 4), _folder(spark, "ingested"),
+        _folder(spark, "ingest-checkpoint"))
+    return found.table
+
+
+_CODE = "concat('N', chr(CAST(65 + n_nationkey AS INTEGER)))"
+
+
+@query(
+    "stored_codes",
+    f"""SELECT c_custkey, n_name AS stored, concat(n_name, ' neu') AS fresh, n_name AS chosen
+        FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+)
+def stored_codes(spark, sf_dir):
+    """Customers' places from codes: of a stored file, of a query response, and the choice."""
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey"), F.col("n_name").alias("place"), F.expr(_CODE).alias("code"))
+    stored, response = _folder(spark, "codes"), _folder(spark, "response")
+    # one object of a row for each nation
+    nations.agg(F.map_from_entries(F.collect_list(F.struct("code", "place"))).alias("m")).select(
+        F.to_json("m")).coalesce(1).write.text(stored)
+    cell = F.struct(
+        F.struct(F.col("code").alias("value")).alias("licencePlate"),
+        F.struct(F.concat("place", F.lit(" neu")).alias("value")).alias("itemLabel"))
+    nations.agg(F.struct(F.collect_list(cell).alias("bindings")).alias("results")).coalesce(
+        1).write.json(response)
+    read = codes.read_codes(spark, stored)
+    fresh = codes.codes_from_bindings(spark, response)
+    kept = _folder(spark, "kept-codes")
+    codes.write_codes(codes.choose_codes(read, fresh), kept)
+    places = table(spark, sf_dir, "customer").join(
+        nations.select(F.col("n_nationkey").alias("c_nationkey"), "code"), "c_nationkey"
+    ).select("c_custkey", *[F.col("code").alias(c) for c in ("stored", "fresh", "chosen")])
+    places = lookup.resolve_codes(places, "stored", read)
+    places = lookup.resolve_codes(places, "fresh", fresh)
+    return lookup.resolve_codes(places, "chosen", spark.read.parquet(kept))
+
+
+@query("cleaned_sink", ORACLES["clean_table"])
+def cleaned_sink(spark, sf_dir):
+    path = _folder(spark, "cleaned")
+    sinks.write_cleaned(QUERIES["clean_table"](spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query("report_sink", ORACLES["error_report"])
+def report_sink(spark, sf_dir):
+    report = QUERIES["error_report"](spark, sf_dir)
+    path = _folder(spark, "report")
+    sinks.write_report(report, path, "csv")
+    return spark.read.csv(path, schema=report.schema, header=True, quote='"', escape='"')
