@@ -728,24 +728,35 @@ def _documents(spark, sf_dir) -> DataFrame:
     )
 
 
-def _neighbour_sql(floor: float) -> str:
-    """Nearest neighbours by plain relational TF-IDF (groups of more than five rows)."""
+def _vectors_cte(source: str) -> str:
+    """``sims(i, j, sim)`` of ``source(doc_id, lang, text)`` by plain relational TF-IDF."""
     return f"""
-    WITH tok AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM documents),
+    docs AS ({source}),
+    tok AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM docs),
     tf AS (SELECT doc_id, lang, term, count(*) AS tf FROM (
                SELECT doc_id, lang, unnest(t) AS term FROM tok
                UNION ALL
                SELECT doc_id, lang, unnest(list_transform(range(1, len(t)), lambda i: concat(t[i], ' ', t[i + 1]))) FROM tok)
            GROUP BY 1, 2, 3),
-    n AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1),
+    n AS (SELECT lang, count(*) AS n FROM docs GROUP BY 1),
     df AS (SELECT lang, term, count(*) AS df FROM tf GROUP BY 1, 2),
     w AS (SELECT doc_id, lang, term, tf * (ln((1 + n) / (1 + df)) + 1) AS w
           FROM tf JOIN df USING (lang, term) JOIN n USING (lang) WHERE df <= 0.95 * n),
     u AS (SELECT doc_id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w),
     sims AS (SELECT a.doc_id AS i, b.doc_id AS j, round(sum(a.w * b.w), 9) AS sim
-             FROM u a JOIN u b ON a.lang = b.lang AND a.term = b.term AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-    near AS (SELECT i, j FROM sims WHERE sim > 0 AND sim >= {floor}
-             QUALIFY row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) <= 4)
+             FROM u a JOIN u b ON a.lang = b.lang AND a.term = b.term AND a.doc_id <> b.doc_id GROUP BY 1, 2)"""
+
+
+def _nearest_sql(floor: float) -> str:
+    return f"""SELECT i, j FROM sims WHERE sim > 0 AND sim >= {floor}
+             QUALIFY row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) <= 4"""
+
+
+def _neighbour_sql(floor: float) -> str:
+    """Nearest neighbours of the documents (groups of more than five rows)."""
+    return f"""
+    WITH {_vectors_cte("SELECT doc_id, lang, text FROM documents")},
+    near AS ({_nearest_sql(floor)})
     SELECT DISTINCT least(i, j) AS lo, greatest(i, j) AS hi FROM near"""
 
 
@@ -818,20 +829,179 @@ def pair_scores(spark, sf_dir):
     return dedupe.pair_scores(documents, "doc_id", pairs)
 
 
-@query("duplicate_ads")
+# Parts seen as ads in families of four: near-equal texts, grades, places and coordinates, so
+# that every check both accepts and rejects pairs.  Valid in Spark SQL and in DuckDB.
+_FAMILY = (
+    "SELECT p_partkey, c, j, md5(CAST(c AS VARCHAR(20))) AS h FROM (SELECT p_partkey, "
+    "CAST(floor(p_partkey / 4) AS BIGINT) AS c, CAST(p_partkey % 4 AS INTEGER) AS j FROM part) f"
+)
+_FAMILY_COLUMNS = {
+    "jobid": "p_partkey",
+    "jobdescription": """concat(CASE WHEN c % 7 = 3 THEN 'Vollzeit Teilzeit ' ELSE 'Leitung ' END,
+        substr(h, 1, 9), ' ', substr(h, 10, 9), ' ', substr(h, 19, 9),
+        CASE j WHEN 1 THEN 'x' WHEN 3 THEN CASE WHEN c % 5 = 0 THEN ' qqq' ELSE 'yz' END
+               ELSE '' END)""",
+    "jobtype": "CASE c % 3 WHEN 0 THEN 'x' WHEN 1 THEN '' ELSE NULL END",
+    "company": """CASE WHEN c % 6 = 0 THEN NULL ELSE concat('Haus ', substr(h, 20, 7),
+        CASE WHEN j = 1 AND c % 3 = 0 THEN ' AG' WHEN j = 2 AND c % 3 = 1 THEN ' GmbH'
+             ELSE '' END, ' ', substr(h, 3, 6)) END""",
+    "location": """concat(CASE WHEN j = 2 AND c % 8 = 2 THEN 'ORT ' ELSE 'Ort ' END,
+        substr(h, 5, 8), CASE WHEN j = 3 AND c % 4 = 1 THEN 's' ELSE '' END)""",
+    "country": "'DE'",
+    "plz": """CASE WHEN c % 5 = 2 THEN NULL WHEN j = 1 AND c % 11 = 4 THEN '00000'
+        ELSE lpad(CAST(c % 100000 AS VARCHAR(9)), 5, '1') END""",
+    "salary": """CASE c % 4 WHEN 0 THEN NULL WHEN 1 THEN 'TV-L E 9'
+        WHEN 2 THEN concat('TV-L E 9', CASE j WHEN 1 THEN 'A' WHEN 2 THEN 'B' ELSE '' END)
+        ELSE concat('Entgeltgruppe im Haus E ', CASE j WHEN 3 THEN '10' WHEN 2 THEN '12'
+                    ELSE '9' END) END""",
+    "geo_lat": """CASE WHEN c % 9 = 5 OR c % 9 = 6 AND j = 2 THEN NULL ELSE CAST(52.5 AS DOUBLE)
+        + CAST(j * (c % 3) AS DOUBLE) / CAST(10000 AS DOUBLE) END""",
+    "geo_lon": "CAST(13.4 AS DOUBLE) + CAST(j * (c % 2) AS DOUBLE) / CAST(10000 AS DOUBLE)",
+    "note": "CASE WHEN j = 2 THEN NULL ELSE 'n' END",
+}
+
+
+def _both(first: str, second: str, score: str) -> str:
+    """A score that applies only where both values are there."""
+    return f"CASE WHEN {first} IS NOT NULL AND {second} IS NOT NULL THEN {score} END"
+
+
+def _stop_words_sql(column: str) -> str:
+    sql = f"lower({column})"
+    for word in R.COMPANY_STOP_WORDS:
+        sql = f"replace({sql}, '{word}', '')"
+    return f"trim(regexp_replace({sql}, '\\s+', ' ', 'g'))"
+
+
+def _found_sql() -> str:
+    """``dropped(node, leader, score)`` of the families, after all checks, and what leads to it."""
+    fuzzy, numbers = DEFAULT_RULES.fuzzy_columns, DEFAULT_RULES.numeric_columns
+    filled = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in _FAMILY_COLUMNS)
+    text = "concat_ws(' ', " + ", ".join(f"coalesce({c}, '')" for c in fuzzy) + ")"
+    compared = {c: (_TOKENS.format(f"x.{c}"), _TOKENS.format(f"y.{c}")) for c in fuzzy}
+    compared["bare"] = tuple(
+        _TOKENS.format(_stop_words_sql(f"{t}.company")) for t in ("x", "y"))
+    compared["lower"] = tuple(_TOKENS.format(f"lower({t}.jobdescription)") for t in ("x", "y"))
+    compared["place_name"] = ("lower(trim(x.location))", "lower(trim(y.location))")
+    scores = " ".join(
+        f"LEFT JOIN {_score_sql(f'SELECT id, {a} AS a, {b} AS b FROM (SELECT id, lo, hi FROM cand) c JOIN ranked x ON x.place = lo JOIN ranked y ON y.place = hi WHERE {a} IS NOT NULL AND {b} IS NOT NULL')} s_{c} ON s_{c}.id = cand.id"
+        for c, (a, b) in compared.items())
+    near = {c: _both(f"x.{c}", f"y.{c}", f"greatest(CAST(0 AS DOUBLE), 100 * (1 - least(abs(x.{c} - y.{c}) / CAST({DEFAULT_RULES.numeric_tolerance} AS DOUBLE), CAST(1 AS DOUBLE))))") for c in numbers}
+    grade = "TRY_CAST(nullif(regexp_extract(upper({}.salary), '" + R.GRADE_IN_SALARY + "', {}), '') AS INTEGER)"
+    letters = "regexp_extract(upper({}.salary), '" + R.GRADE_IN_SALARY + "', 2)"
+    gx, gy = grade.format("x", 1), grade.format("y", 1)
+    lx, ly = letters.format("x"), letters.format("y")
+    least = {c: DEFAULT_RULES.field_score for c in fuzzy}
+    least[DEFAULT_RULES.description_column] = DEFAULT_RULES.description_score
+    checks = [
+        f"({gx} IS NULL OR {gy} IS NULL OR abs({gx} - {gy}) = 1 OR {gx} = {gy} AND "
+        f"(contains({lx}, {ly}) OR contains({ly}, {lx})))",
+        *[f"(s_{c}.score >= {n} OR x.{c} IS NULL AND y.{c} IS NULL)" for c, n in least.items()],
+        *[f"coalesce({near[c]} >= {DEFAULT_RULES.numeric_score}, x.{c} IS NULL AND y.{c} IS NULL)"
+          for c in numbers],
+        f"(s_bare.score >= {DEFAULT_RULES.company_score} OR s_bare.score IS NULL OR least("
+        f"length({_stop_words_sql('x.company')}), length({_stop_words_sql('y.company')})) <= "
+        f"{DEFAULT_RULES.min_compare_length})",
+        f"s_lower.score >= {DEFAULT_RULES.description_score}",
+        f"s_place_name.score >= {DEFAULT_RULES.place_score}",
+        *[f"NOT (contains(lower({p}.jobdescription), '{s}') AND "
+          f"contains(lower({q}.jobdescription), '{t}'))"
+          for s, t in DEFAULT_RULES.contradictions for p, q in (("x", "y"), ("y", "x"))],
+    ]
+    terms = [f"CAST(s_{c}.score AS DOUBLE)" for c in fuzzy] + [near[c] for c in numbers]
+    total = " + ".join(f"coalesce({t}, 0)" for t in terms)
+    count = " + ".join(f"CAST({t} IS NOT NULL AS INTEGER)" for t in terms)
+    return f"""
+    WITH RECURSIVE family AS ({_FAMILY}),
+    ads AS ({_select(_FAMILY_COLUMNS, "family")}),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY {filled} DESC, jobid) AS place,
+                      concat(coalesce(jobtype, ''), '|', coalesce(country, '')) AS grp,
+                      {text} AS joined FROM ads),
+    {_vectors_cte("SELECT place AS doc_id, grp AS lang, joined AS text FROM ranked")},
+    near AS ({_nearest_sql(0.0)}),
+    pairs AS (SELECT DISTINCT least(i, j) AS lo, greatest(i, j) AS hi FROM near),
+    cand AS (SELECT row_number() OVER () AS id, lo, hi FROM pairs),
+    checked AS (SELECT lo, hi, CAST(floor(({total}) / ({count})) AS INTEGER) AS score
+                FROM cand JOIN ranked x ON x.place = lo JOIN ranked y ON y.place = hi {scores}
+                WHERE {" AND ".join(checks)}),
+    accepted AS (SELECT * FROM checked WHERE score >= {DEFAULT_RULES.min_probability}),
+    nodes AS (SELECT row_number() OVER (ORDER BY place) AS step, place, coalesce(
+                     (SELECT list(lo) FROM accepted WHERE hi = place), []) AS better
+              FROM (SELECT lo AS place FROM accepted UNION SELECT hi FROM accepted)),
+    walk AS (SELECT CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS led
+             UNION ALL
+             SELECT n.step, CASE WHEN len(list_intersect(w.led, n.better)) > 0 THEN w.led
+                                 ELSE list_append(w.led, n.place) END
+             FROM walk w JOIN nodes n ON n.step = w.step + 1),
+    led AS (SELECT led FROM walk ORDER BY step DESC LIMIT 1),
+    taken AS (SELECT place, list_min(list_intersect(led, better)) AS leader FROM nodes, led),
+    dropped AS (SELECT n.jobid AS node, l.jobid AS leader, score FROM taken
+                JOIN accepted ON lo = leader AND hi = taken.place
+                JOIN ranked n ON n.place = taken.place JOIN ranked l ON l.place = leader
+                WHERE leader IS NOT NULL)"""
+
+
+_LISTED = """,
+    kept AS (SELECT leader, max(score) AS probability,
+                    row_number() OVER (ORDER BY leader) - 1 AS pair_id FROM dropped GROUP BY 1),
+    roles AS (SELECT leader AS orig_index, true AS keep, pair_id, probability FROM kept
+              UNION ALL SELECT node, false, pair_id, score FROM dropped JOIN kept USING (leader))"""
+
+
+def _families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey")
+    family = part.selectExpr(
+        "p_partkey", "CAST(floor(p_partkey / 4) AS BIGINT) AS c",
+        "CAST(p_partkey % 4 AS INTEGER) AS j")
+    family = family.selectExpr("*", "md5(CAST(c AS STRING)) AS h")
+    return family.select(*[F.expr(e).alias(n) for n, e in _FAMILY_COLUMNS.items()])
+
+
+@query(
+    "duplicate_ads",
+    f"""{_found_sql()}{_LISTED}
+    SELECT ads.*, keep, pair_id, orig_index, probability FROM ads JOIN roles ON jobid = orig_index""",
+)
 def duplicate_ads(spark, sf_dir):
-    """All five fuzzy fields and coordinates: documents with derived ad columns."""
-    documents = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.col("text").alias("jobdescription"),
-        F.col("lang").alias("country"),
-        F.concat(F.lit("Bibliothek der Hochschule "), F.col("lang")).alias("company"),
-        F.concat(F.lit("Campus "), F.col("lang")).alias("location"),
-        F.lpad(F.length("lang").cast("string"), 5, "1").alias("plz"),
-        F.when(F.col("text").contains("a"), "TV-L E9").alias("salary"),
-        (F.length("lang") / 10).alias("geo_lat"),
-    )
-    return dedupe.find_duplicates(documents, "doc_id").listing
+    """All fuzzy fields and coordinates, every check, survivors and listing."""
+    return dedupe.find_duplicates(_families(spark, sf_dir), "jobid").listing
+
+
+@query(
+    "remaining_ads",
+    f"{_found_sql()} SELECT * FROM ads WHERE jobid NOT IN (SELECT node FROM dropped)",
+)
+def remaining_ads(spark, sf_dir):
+    return dedupe.find_duplicates(_families(spark, sf_dir), "jobid").cleaned
+
+
+@query(
+    "duplicate_ads_export",
+    f"""{_found_sql()}{_LISTED}
+    SELECT {", ".join(f"{c} AS _{c.upper()}_" for c in _FAMILY_COLUMNS)}, leader AS _DUPLICATE_OF_
+    FROM ads JOIN dropped ON jobid = node WHERE score = 100""",
+)
+def duplicate_ads_export(spark, sf_dir):
+    found = dedupe.find_duplicates(_families(spark, sf_dir), "jobid").listing
+    certain = dedupe.certain_duplicates(found)
+    return dedupe.duplicate_export(certain, dedupe.preselected(certain))
+
+
+@query(
+    "ad_pair_scores",
+    f"""{_found_sql()}
+    SELECT least(x.jobid, y.jobid) AS lo, greatest(x.jobid, y.jobid) AS hi, score FROM accepted
+    JOIN ranked x ON x.place = lo JOIN ranked y ON y.place = hi""",
+)
+def ad_pair_scores(spark, sf_dir):
+    ads_ = _families(spark, sf_dir)
+    rules = DEFAULT_RULES
+    rank = F.struct((-dedupe.filled_cells(ads_)).alias("minus_filled"), F.col("jobid").alias("key"))
+    rows = candidates.search_rows(
+        ads_, "jobid", candidates.group_key(["jobtype", "country"]),
+        candidates.joined_text(ads_, list(rules.fuzzy_columns)), rank)
+    pairs, _ = candidates.search(rows, rules)
+    return dedupe.pair_scores(ads_, "jobid", pairs.select("lo", "hi"))
 
 
 # ------------------------------------------------------------- files, written and scanned
