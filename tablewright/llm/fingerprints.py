@@ -13,6 +13,8 @@ counted.  Texts cross the network once, and all counting and drawing happens whe
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,22 +26,32 @@ _BITS31, _BITS21, _BITS32 = (1 << 31) - 1, (1 << 21) - 1, (1 << 32) - 1
 
 
 def _uniform(bits: Column, size: int) -> Column:
-    return (bits + F.lit(0.5)) / F.lit(float(size + 1))
-
-
-def draw(term: Column, weight: Column, sample: int) -> Column:
-    """The draw of one term: ``ln a`` in the upper bits, the name of (term, t) in the lower."""
-    first, second = F.xxhash64(term, F.lit(2 * sample)), F.xxhash64(term, F.lit(2 * sample + 1))
-    c = -F.log(_uniform(first.bitwiseAND(F.lit(_BITS31)), _BITS31)
-               * _uniform(F.shiftrightunsigned(first, 33), _BITS31))
-    r = -F.log(_uniform(second.bitwiseAND(F.lit(_BITS21)), _BITS21)
-               * _uniform(F.shiftrightunsigned(second, 21).bitwiseAND(F.lit(_BITS21)), _BITS21))
+    return (bits + F.lit(0.5)) * F.lit(1.0 / (size + 1))
+
+
+def draw(term: Column, weight: Column, total: Column, sample: int) -> Column:
+    """The draw of one term: ``ln a`` in the upper bits, the name of (term, t) in the lower.
+
+    The smallest a of a text has an exponential distribution with its total weight as rate,
+    and a is at least (1 - u) v / w, where c = -ln u and r = -ln v.  Only terms for which this
+    bound is below 16 / total need logarithms; that no term of a text is below has a
+    probability of e^-16, and then the smallest bound is drawn."""
+    first = F.xxhash64(term.bitwiseXOR(F.lit(random.Random(sample).getrandbits(63))))
+    second = F.xxhash64(first)
+    u = (_uniform(first.bitwiseAND(F.lit(_BITS31)), _BITS31)
+         * _uniform(F.shiftrightunsigned(first, 33), _BITS31))
+    v = (_uniform(second.bitwiseAND(F.lit(_BITS21)), _BITS21)
+         * _uniform(F.shiftrightunsigned(second, 21).bitwiseAND(F.lit(_BITS21)), _BITS21))
     b = _uniform(F.shiftrightunsigned(second, 42).bitwiseAND(F.lit(_BITS21)), _BITS21)
+    least = (1 - u) * v  # times weight
+    r = -F.log(v)
     t = F.floor(F.log(weight) / r + b)
-    a = F.log(c) - r * (t - b) - r
-    order = ((a + F.lit(128.0)) * F.lit(float(1 << 23))).cast("long")
-    name = F.xxhash64(term, t).bitwiseAND(F.lit(_BITS32))
-    return F.shiftleft(order, 32).bitwiseOR(name)
+    order = F.log(-F.log(u)) - r * (t - b) - r
+    name = term.bitwiseXOR(t * F.lit(2654435761)).bitwiseAND(F.lit(_BITS32))
+    exact = F.shiftleft(((order + 128) * F.lit(float(1 << 22))).cast("long"), 32).bitwiseOR(name)
+    bound = F.lit(1 << 30) + F.least(least / weight * F.lit(float(1 << 20)), F.lit(1e9)).cast("long")
+    return F.when(least * total <= 16 * weight, exact).otherwise(
+        F.shiftleft(bound, 32).bitwiseOR(term.bitwiseAND(F.lit(_BITS32))))
 
 
 def samples_of(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
@@ -47,12 +59,14 @@ def samples_of(texts: DataFrame, keys: list[str], text: str, samples: int = SAMP
     null for a text without words.  ``keys`` must be unique.  If the rows are already dealt by
     some of the keys, nothing is shuffled."""
     words = F.filter(F.split(F.col(text), r"[\s\p{Z}]+"), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    terms = texts.select(*keys, F.explode_outer(hashed).alias("term"))
-    counted = terms.groupBy(*keys, "term").agg(F.count("*").cast("double").alias("weight"))
+    hashed = texts.select(*keys, F.transform(words, lambda w: F.xxhash64(w)).alias("terms"))
+    terms = hashed.select(*keys, F.size("terms").cast("double").alias("total"),
+                          F.explode_outer("terms").alias("term"))
+    counted = terms.groupBy(*keys, "total", "term").agg(F.count("*").cast("double").alias("weight"))
+    term, weight, total = F.col("term"), F.col("weight"), F.col("total")
     drawn = counted.groupBy(*keys).agg(*[
-        F.min(F.when(F.col("term").isNotNull(), draw(F.col("term"), F.col("weight"), k)))
-        .alias(f"s{k}") for k in range(samples)])
+        F.min(F.when(term.isNotNull(), draw(term, weight, total, k))).alias(f"s{k}")
+        for k in range(samples)])
     names = F.array(*[F.col(f"s{k}").bitwiseAND(F.lit(_BITS32)) for k in range(samples)])
     return drawn.select(*keys, F.when(F.col("s0").isNotNull(), names).alias("samples"))
 
