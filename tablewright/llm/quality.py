@@ -235,7 +235,7 @@ class Scorer:
         if not words:
             return 0.0
         size = len(self.weights) - 2
-        for word in counts.keys() - known.keys():
+        for word in set(counts).difference(known):
             a, b = _buckets(word, size)
             known[word] = float(self.weights[a] + self.weights[b])
         total = sum(map(operator.mul, counts.values(), map(known.__getitem__, counts)))

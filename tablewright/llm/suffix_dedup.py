@@ -42,18 +42,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def block_hashes(data: np.ndarray, levels: int) -> dict[int, np.ndarray]:
-    """Hashes of all strings of 1, 2, 4 ... bytes: each of two halves.  Places too near the
-    end keep the hash of a shorter string."""
+def block_hashes(data: np.ndarray, sizes: tuple[int, ...]) -> dict[int, np.ndarray]:
+    """Hashes of all strings of the given sizes (powers of two), each made of the hashes of its
+    halves.  Places too near the end keep the hash of a shorter string."""
     value = (data.astype(np.uint64) + np.uint64(1)) * _ODD[0]
-    found, size = {1: value}, 1
-    for level in range(levels):
+    found, size = {}, 1
+    for level in range(max(sizes).bit_length() - 1):
         longer = value.copy()
         if len(value) > size:
             longer[:-size] = value[:-size] * _ODD[level + 1] + value[size:]
             longer ^= longer >> np.uint64(33)
         value, size = longer, 2 * size
-        found[size] = value
+        if size in sizes:
+            found[size] = value
     return found
 
 
@@ -81,7 +82,7 @@ def anchors_of(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum(sizes)
     begins = ends - sizes
-    hashes = block_hashes(data, 8)
+    hashes = block_hashes(data, (GRAM, 128, 256))
     gram = _mixed(hashes[GRAM])
     packed = (gram & ~_PLACE) | np.arange(len(data), dtype=np.uint64)
     nearest = (_smallest(packed, window - GRAM + 1) & _PLACE).astype(np.int64)
@@ -334,7 +335,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                 for p in places:
                     data = np.frombuffer(text[p["low"]:p["high"] + window], np.uint8)
                     size = 1 << (window.bit_length() - 1)
-                    value = block_hashes(data, size.bit_length() - 1)[size]
+                    value = block_hashes(data, (size,))[size]
                     n = p["high"] - p["low"] + 1
                     value = _mixed(value[:n] * _ODD[3] + _mixed(value[window - size:][:n]))
                     out[0].extend([row] * n)
