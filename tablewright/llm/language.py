@@ -254,13 +254,16 @@ def training_sample(
     limits = (
         narrow.withColumn("place", F.row_number().over(by_lang))
         .filter(F.col("place") <= per_language)
-        .groupBy("lang").agg(F.max("chance").alias("limit"))
+        .groupBy("lang").agg(F.max("chance").alias("limit")).collect()  # a row a language
     )
+    if not limits:
+        return []
+    limit = F.create_map(*[F.lit(x) for r in limits for x in (r["lang"], r["limit"])])
     rows = (
         df.filter(usable)
         .select(F.col(f"`{lang}`").alias("lang"), chance.alias("chance"),
                 F.col(f"`{text}`").alias("text"))
-        .join(limits, "lang").filter("chance <= limit")
+        .filter(F.col("chance") <= F.try_element_at(limit, F.col("lang")))
         .withColumn("place", F.row_number().over(by_lang.orderBy("chance", F.xxhash64("text"))))
         .filter(F.col("place") <= per_language).select("text", "lang")
     )
