@@ -433,15 +433,6 @@ def clean_orders(spark, sf_dir):
     return clean_table(raw, codes)
 
 
-@query("clean_organisations")
-def clean_organisations(spark, sf_dir):
-    raw = table(spark, sf_dir, "part").select(
-        "p_partkey",
-        F.concat(F.lit("<b>"), F.col("p_name"), F.lit(" &amp; eV</b>, 12345 Köln")).alias("company"),
-    )
-    return clean_table(raw)
-
-
 # ------------------------------------------------------------------------ profiling
 
 @query(
@@ -687,9 +678,11 @@ def name_scores(spark, sf_dir):
     )
 
 
-# The sequential leader rule as a walk over the names in rank order.
-_CONSOLIDATED = f"""
-    WITH RECURSIVE counted AS (SELECT p_name AS name, count(*) AS n FROM part WHERE p_name IS NOT NULL GROUP BY 1),
+def _name_groups_sql(source: str) -> str:
+    """``nodes``, ``member`` and ``canonical`` of the names of ``source(name)``: the sequential
+    leader rule as a walk over the names in rank order."""
+    return f"""
+    WITH RECURSIVE counted AS (SELECT name, count(*) AS n FROM ({source}) WHERE name IS NOT NULL GROUP BY 1),
     nodes AS (SELECT row_number() OVER (ORDER BY n DESC, name) AS place, name, n FROM counted),
     pairs AS (SELECT lo.place * 1000000 + hi.place AS id, lower(lo.name) AS a, lower(hi.name) AS b
               FROM nodes lo JOIN nodes hi ON lo.place < hi.place),
@@ -702,7 +695,10 @@ _CONSOLIDATED = f"""
     led AS (SELECT led FROM walk ORDER BY place DESC LIMIT 1),
     member AS (SELECT place, coalesce(list_min(list_intersect(led, better)), place) AS leader FROM steps, led),
     canonical AS (SELECT leader, first(name ORDER BY n DESC, length(name), name) AS canonical
-                  FROM member JOIN nodes USING (place) GROUP BY 1)
+                  FROM member JOIN nodes USING (place) GROUP BY 1)"""
+
+
+_CONSOLIDATED = f"""{_name_groups_sql("SELECT p_name AS name FROM part")}
     SELECT p_partkey, coalesce(canonical, p_name) AS p_name
     FROM part LEFT JOIN nodes ON name = p_name LEFT JOIN member USING (place) LEFT JOIN canonical USING (leader)"""
 
@@ -714,11 +710,31 @@ def consolidate_part_names(spark, sf_dir):
     )
 
 
-@query("name_mapping_of_customers")
+@query(
+    "name_mapping_of_customers",
+    f"""{_name_groups_sql("SELECT c_name AS name FROM customer")}
+    SELECT name, canonical FROM nodes JOIN member USING (place) JOIN canonical USING (leader)
+    WHERE name <> canonical""",
+)
 def name_mapping_of_customers(spark, sf_dir):
     return consolidate.name_mapping(table(spark, sf_dir, "customer"), "c_name")
 
 
+@query(
+    "clean_organisations",
+    f"""{_name_groups_sql("SELECT concat(p_name, ' & e.V.') AS name FROM part")}
+    SELECT p_partkey, canonical AS company, '12345' AS plz
+    FROM part JOIN nodes ON name = concat(p_name, ' & e.V.')
+    JOIN member USING (place) JOIN canonical USING (leader)""",
+)
+def clean_organisations(spark, sf_dir):
+    raw = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat(F.lit("<b>"), F.col("p_name"), F.lit(" &amp; eV</b>, 12345 Köln")).alias("company"),
+    )
+    return clean_table(raw)
+
+
 # ------------------------------------------------------------------ duplicate search
 
 def _documents(spark, sf_dir) -> DataFrame:
