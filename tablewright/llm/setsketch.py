@@ -9,12 +9,10 @@ only classes are compared.
    members with its leader (the smallest class in it): first by the joint likelihood of both
    sketches, then on the full sets.  That settles most members, because members of one
    component need not be compared with each other.
-3. The rest of a bucket's pairs - of different components - follows without listing a group's
-   pairs.  The hub of a class is the smallest leader that resembles it.  Two classes of one
-   hub have at most the smaller of their shares of the hub in common, and what they both have
-   beside it; so a pair is only looked at if that share alone could suffice or if an index of
-   the shingles beside the hub holds both.  Pairs of different hubs in a bucket are compared
-   directly.
+3. The rest - pairs of different components - follows without listing a group's pairs.  The
+   hub of a class is the smallest leader that resembles it.  Classes of one hub are compared
+   in blocks of bounded size, and only links leave a task; pairs of different hubs in a
+   bucket are compared directly.
 4. Components by the smallest label, with pointer jumping.
 
 All links between buckets' members are found exactly; a pair at the threshold shares no bucket
@@ -47,6 +45,8 @@ class Similar:
     percent: int = 80
     bands: int = 40
     rows: int = 5
+    #: Classes of one hub that a task compares with as many others.
+    block: int = 256
     #: Pairs whose estimate is this many standard deviations below the threshold are dropped.
     deviations: float = 6.0
 
@@ -204,8 +204,8 @@ def _sets(df: DataFrame, wanted: DataFrame, rule: Similar, key: str, text: str)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, rule: Similar, label: str) -> DataFrame:
-    """``(a, b, size_a, size_b, common, beside)`` of the pairs whose likely similarity comes
-    near the threshold, durable: ``beside`` are the elements of b that a lacks."""
+    """``(a, b, size_a, size_b, common)`` of the pairs whose likely similarity comes near the
+    threshold, durable."""
     a = sets.select(F.col("class").alias("a"), F.col("size").alias("size_a"),
                     F.col("registers").alias("reg_a"), F.col("elements").alias("set_a"))
     b = sets.select(F.col("class").alias("b"), F.col("size").alias("size_b"),
@@ -226,25 +226,23 @@ def _compared(pairs: DataFrame, sets: DataFrame, rule: Similar, label: str) -> D
                              sizes[0][i:i + 512], sizes[1][i:i + 512])
                 for i in range(0, n, 512))])
             kept = np.flatnonzero(likely >= rule.least_estimate)
-            common, beside = [], []
+            common = []
             for i in kept.tolist():
                 x = np.frombuffer(batch.column("set_a")[i].as_buffer(), np.uint64)
                 y = np.frombuffer(batch.column("set_b")[i].as_buffer(), np.uint64)
                 at = np.searchsorted(x, y)
                 inside = x[np.minimum(at, len(x) - 1)] == y
                 common.append(int(inside.sum()))
-                beside.append(y[~inside].view(np.int64))
             rows = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(rows) for c in ("a", "b", "size_a", "size_b")),
-                 pa.array(common, pa.int64()), pa.array(beside, pa.list_(pa.int64()))],
-                names=["a", "b", "size_a", "size_b", "common", "beside"])
+                 pa.array(common, pa.int64())],
+                names=["a", "b", "size_a", "size_b", "common"])
 
     joined = pairs.join(a, "a").join(b, "b").filter(near)
     return written(joined.select(
         "a", "b", "size_a", "size_b", "reg_a", "reg_b", "set_a", "set_b").mapInArrow(
-            compare, "a binary, b binary, size_a long, size_b long, common long, "
-                     "beside array<long>"), label)
+            compare, "a binary, b binary, size_a long, size_b long, common long"), label)
 
 
 # --- components -------------------------------------------------------------------------
@@ -296,63 +294,97 @@ def links_of(df: DataFrame, held: DataFrame, rule: Similar, key: str, text: str)
     first = components(stars.filter(settled).select("a", "b"))
 
     # the hub of a class: the smallest leader that resembles it; a leader may be its own
-    hubs = stars.groupBy(F.col("b").alias("class")).agg(
-        F.min(F.struct("a", "common", "size_b")).alias("h"))
-    about = (
+    hubs = stars.groupBy(F.col("b").alias("class")).agg(F.min("a").alias("h"))
+    about = written(
         members.select("class").distinct()
         .join(first.withColumnRenamed("node", "class"), "class", "left")
         .join(hubs, "class", "left")
         .select("class", F.coalesce("label", "class").alias("component"),
-                F.coalesce("h.a", "class").alias("hub"), F.col("h.common").alias("share"),
-                F.col("h.size_b").alias("size"))
-    )
-    about = written(about, "about")
-    open_ = written(members.select("band", "class").join(about, "class"), "open")
-    several = open_.groupBy("band").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"),
-        F.min("hub").alias("h0"), F.max("hub").alias("h1")).filter("least != most")
-    open_ = open_.join(several.select("band", (F.col("h0") != F.col("h1")).alias("mixed")), "band")
-
-    def side(rows: DataFrame, s: str) -> DataFrame:
-        return rows.select("band", *[
-            F.col(c).alias(f"{c}_{s}") for c in ("class", "component", "hub", "share", "size")])
-
-    apart = (F.col("component_x") != F.col("component_y")) & (F.col("class_x") < F.col("class_y"))
-    mixed = open_.filter("mixed")
-    direct = side(mixed, "x").join(side(mixed, "y"), "band").filter(
-        apart & (F.col("hub_x") != F.col("hub_y"))).select("class_x", "class_y")
-    share = F.least("share_x", "share_y")
-    with_hub = open_.filter("share IS NOT NULL")
-    near_hub = side(with_hub, "x").withColumnRenamed("hub_x", "hub").join(
-        side(with_hub, "y").withColumnRenamed("hub_y", "hub"), ["band", "hub"]).filter(
-        apart & rule.linked(share, F.col("size_x"), F.col("size_y"))
-    ).select("class_x", "class_y")
-    beside = (
-        about.filter("share IS NOT NULL")
-        .join(stars.select(F.col("a").alias("hub"), F.col("b").alias("class"), "beside"),
-              ["hub", "class"])
-        .join(open_.select("class").distinct(), "class")
-        .select("hub", "class", "component", "share", "size", F.size("beside").alias("n"),
-                F.explode("beside").alias("element"))
-    )
-
-    def element(s: str) -> DataFrame:
-        return beside.select("hub", "element", *[
-            F.col(c).alias(f"{c}_{s}") for c in ("class", "component", "share", "size", "n")])
-
-    could = rule.linked(share + F.least("n_x", "n_y"), F.col("size_x"), F.col("size_y"))
-    indexed = element("x").join(element("y"), ["hub", "element"]).filter(apart & could).groupBy(
-        "class_x", "class_y").agg(
-            F.count("*").alias("both"), F.first("share_x").alias("share_x"),
-            F.first("share_y").alias("share_y"), F.first("size_x").alias("size_x"),
-            F.first("size_y").alias("size_y"))
-    indexed = indexed.filter(rule.linked(
-        share + F.col("both"), F.col("size_x"), F.col("size_y"))).select("class_x", "class_y")
-    rest = direct.union(near_hub).union(indexed).distinct().select(
-        F.col("class_x").alias("a"), F.col("class_y").alias("b"))
+                F.coalesce("h", "class").alias("hub")), "about")
+
+    # one hub, different components: blocks of the hub's classes meet in tasks of their own
+    inner = _links_in_hubs(about, sets, rule)
+
+    # different hubs in one bucket: pairs
+    spread = members.select("band", "class").join(about, "class")
+    several = spread.groupBy("band").agg(
+        F.min("component").alias("c0"), F.max("component").alias("c1"),
+        F.min("hub").alias("h0"), F.max("hub").alias("h1")
+    ).filter("c0 != c1 AND h0 != h1").select("band")
+    mixed = spread.join(several, "band")
+
+    def side(s: str) -> DataFrame:
+        return mixed.select("band", *[
+            F.col(c).alias(f"{c}_{s}") for c in ("class", "component", "hub")])
+
+    apart = ((F.col("component_x") != F.col("component_y")) & (F.col("hub_x") != F.col("hub_y"))
+             & (F.col("class_x") < F.col("class_y")))
+    rest = side("x").join(side("y"), "band").filter(apart).select(
+        F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct()
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _compared(rest.join(known, ["a", "b"], "left_anti"), sets, rule, "rest")
-    return stars.filter(settled).select("a", "b").union(rest.filter(settled).select("a", "b"))
+    return (stars.filter(settled).select("a", "b").union(inner)
+            .union(rest.filter(settled).select("a", "b")))
+
+
+def _links_in_hubs(about: DataFrame, sets: DataFrame, rule: Similar) -> DataFrame:
+    """``(a, b)``: links between classes of one hub that are in different components.
+
+    The classes of a hub are dealt to blocks of about ``rule.block`` classes, and every two
+    blocks meet in one task: equal registers first, then the joint likelihood, then the sets.
+    Only links leave the task, so no group is expanded into its pairs."""
+    torn = about.groupBy("hub").agg(
+        F.min("component").alias("c0"), F.max("component").alias("c1"),
+        F.ceil(F.count("*") / F.lit(rule.block)).cast("int").alias("blocks")
+    ).filter("c0 != c1").select("hub", "blocks")
+    dealt = written(
+        about.join(torn, "hub").join(sets, "class").select(
+            "hub", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"),
+            "class", "component", "size", "registers", "elements"), "dealt")
+    held = ["class", "component", "size", "registers", "elements"]
+    left = dealt.select("hub", F.col("block").alias("i"), F.explode(
+        F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), *held)
+    right = dealt.select("hub", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"),
+                         F.col("block").alias("j"), *held)
+    # new names on one side: both come from the same table
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
+        model, a, b = Sketch(rule.registers), [], []
+        if x.num_rows and y.num_rows:
+            sides = []
+            for t in (x, y):
+                registers = b"".join(t.column("registers").to_pylist())
+                sides.append((
+                    t.column("class").to_pylist(), t.column("component").to_pylist(),
+                    np.asarray(t.column("size")).astype(float),
+                    np.frombuffer(registers, np.uint16).reshape(t.num_rows, -1),
+                    [np.frombuffer(e, np.uint64) for e in t.column("elements").to_pylist()]))
+            (names, parts, sizes, regs, elements), (names2, parts2, sizes2, regs2, elements2) = sides
+            kinds = {c: i for i, c in enumerate({*parts, *parts2})}
+            own2 = np.array([kinds[c] for c in parts2])
+            for i, name in enumerate(names):
+                ratio = np.minimum(sizes[i], sizes2) / np.maximum(sizes[i], sizes2)
+                at = np.flatnonzero(
+                    (own2 != kinds[parts[i]]) & (100 * ratio >= rule.percent - 1e-9)
+                    & ((regs2 == regs[i]).mean(axis=1) >= rule.least_estimate))
+                if not len(at):
+                    continue
+                likely = model.likely(
+                    np.broadcast_to(regs[i], (len(at), regs.shape[1])), regs2[at],
+                    np.full(len(at), sizes[i]), sizes2[at], steps=100)
+                for j in at[likely >= rule.least_estimate].tolist():
+                    place = np.searchsorted(elements[i], elements2[j])
+                    common = int((elements[i][np.minimum(place, len(elements[i]) - 1)]
+                                  == elements2[j]).sum())
+                    if 100 * common >= rule.percent * (sizes[i] + sizes2[j] - common):
+                        a.append(name)
+                        b.append(names2[j])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return written(
+        left.groupBy("hub", "i", "j").cogroup(right.groupBy("hub", "i", "j")).applyInArrow(
+            compare, "a binary, b binary"), "inner")
 
 
 def _labelled(

@@ -152,12 +152,12 @@ def near_corpus(seed):
 def test_near_duplicates_equal_all_pairs(spark, words):
     rows = near_corpus(words)
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, class string")
-    found = setsketch.near_duplicates(df, setsketch.Similar(words=words))
+    found = setsketch.near_duplicates(df, setsketch.Similar(words=words, block=20))
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])
                  for r in found.collect())
     expected = sorted((*r, r[0] == r[2]) for r in plain_components(rows, words, 80))
     assert got == expected
-    first = setsketch.first_of_each(df, setsketch.Similar(words=words))
+    first = setsketch.first_of_each(df, setsketch.Similar(words=words, block=20))
     assert first.columns == df.columns
     blank = {i for i, t in rows if not (t or "").split(None)}
     assert {r["doc_id"] for r in first.collect()} == {r[0] for r in expected if r[3]} | blank
