@@ -353,24 +353,18 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(give, "row string, hash long, gram long, name long, begin int")
 
 
-def repeated_spans(
-    df: DataFrame, window: int = 200, key: str = "doc_id", text: str = "text",
-    crowd: int = 20_000,
-) -> DataFrame:
-    """``df`` narrowed to ``(key, text)`` with ``spans array<struct<begin: int, end: int>>``:
-    the maximal runs of bytes to remove of every text (of its UTF-8 bytes), in order.
+def _named(key: str, text: str) -> list[Column]:
+    """A row's name is its key and the hash of its text: the rows that share it are equal."""
+    return [F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("row"),
+            F.xxhash64(F.col(f"`{text}`")).alias("hash")]
 
-    Matches never cross texts; overlaps with itself count.  Null and empty texts have no
-    spans.  Repeated rows repeat each other whole (if as long as the window); null keys are
-    kept; an empty table gives an empty table.  ``window`` must lie between 128 and 288.
-    """
-    spark = df.sparkSession
+
+def _spans(rows: DataFrame, window: int, crowd: int) -> DataFrame:
+    """``(row, hash, found)``: strings to remove, of the rows ``(row, hash, text)`` that have
+    any; they may overlap."""
+    spark = rows.sparkSession
     if not 128 <= window <= 288:
         raise ValueError("window must lie between 128 and 288")
-    rows = narrowed(df, key=key, text=text).select(
-        "key", "text", F.coalesce(F.col("key").cast("string"), F.lit("")).alias("row"),
-        F.xxhash64("text").alias("hash"))
-    # A row's name is its key and the hash of its text: the rows that share it are equal.
     named = ["row", "hash"]
     anchors = written(_anchors(rows.filter(F.octet_length("text") >= window), window), "anchors")
     contexts = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"))
@@ -400,9 +394,24 @@ def repeated_spans(
     twice = windows.groupBy("gram", "name").agg(F.count("*").alias("n")).filter("n > 1")
     crowded = windows.join(twice, ["gram", "name"]).select(
         *named, "begin", (F.col("begin") + window).alias("end"))
-    spans = whole.unionByName(edges).unionByName(crowded).groupBy(*named).agg(
+    return whole.unionByName(edges).unionByName(crowded).groupBy(*named).agg(
         F.collect_list(F.struct("begin", "end")).alias("found"))
-    return rows.join(spans, named, "left").select(
+
+
+def repeated_spans(
+    df: DataFrame, window: int = 200, key: str = "doc_id", text: str = "text",
+    crowd: int = 20_000,
+) -> DataFrame:
+    """``df`` narrowed to ``(key, text)`` with ``spans array<struct<begin: int, end: int>>``:
+    the maximal runs of bytes to remove of every text (of its UTF-8 bytes), in order.
+
+    Matches never cross texts; overlaps with itself count.  Null and empty texts have no
+    spans.  Repeated rows repeat each other whole (if as long as the window); null keys are
+    kept; an empty table gives an empty table.  ``window`` must lie between 128 and 288.
+    """
+    rows = narrowed(df, key=key, text=text).select("key", "text", *_named("key", "text"))
+    spans = _spans(rows, window, crowd)
+    return rows.join(spans, ["row", "hash"], "left").select(
         F.col("key").alias(key), F.col("text").alias(text), _joined("found").alias("spans"))
 
 
@@ -445,17 +454,14 @@ def stripped(
     goes; null and empty texts stay.  Where a span begins or ends inside a character, the rest
     of that character goes too."""
     columns = df.columns
-    whole = F.col(f"`{text}`")
     # All columns travel in one struct, so their names cannot clash.
     rows = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("all"), whole.alias("text"),
-        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("row"),
-        F.xxhash64(whole).alias("hash"))
-    found = repeated_spans(df, window, key, text).filter(F.size("spans") > 0).select(
-        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("row"),
-        F.xxhash64(whole).alias("hash"), "spans").dropDuplicates(["row", "hash"])
-    clean = removed(rows.join(found, ["row", "hash"], "left").withColumn(
-        "spans", F.coalesce("spans", F.array().cast("array<struct<begin:int,end:int>>"))))
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("all"), *_named(key, text))
+    spans = _spans(rows.select("row", "hash", F.col("all").getField(text).alias("text")),
+                   window, crowd=20_000)
+    clean = rows.join(spans, ["row", "hash"], "left").select(
+        "all", F.col("all").getField(text).alias("text"), _joined("found").alias("spans"))
+    clean = removed(clean)
     # Only a text with a cut character loses replacement characters that it had before.
     rest = F.col("kept").cast("string")
     rest = F.when(F.is_valid_utf8(rest), rest).otherwise(
