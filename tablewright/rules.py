@@ -231,7 +231,7 @@ class Rules:
 
     # physical tuning: none of these changes a result
     block_head: int = 256
-    block_classes: int = 4096
+    block_classes: int = 2048
 
     def with_(self, **changes) -> "Rules":
         """A copy with some values replaced."""
