@@ -248,8 +248,9 @@ def test_collision_rate_is_the_generalised_jaccard_similarity(spark):
     rng = random.Random(2)
     rows, expected = [], 0.0
     for i in range(120):
-        words = [rng.choice("abcdefghijklmnop") for _ in range(30)]
-        other = words[:rng.randint(5, 30)] + [rng.choice("abcdefghijklmnop") for _ in range(8)]
+        own = [f"{letter}{i}" for letter in "abcdefghijklmnop"]  # else all texts share draws
+        words = [rng.choice(own) for _ in range(30)]
+        other = words[:rng.randint(5, 30)] + [rng.choice(own) for _ in range(8)]
         a, b = Counter(words), Counter(other)
         expected += sum((a & b).values()) / sum((a | b).values())
         rows.append((i, " ".join(words), " ".join(other)))
