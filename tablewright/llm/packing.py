@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -173,40 +174,98 @@ def _changed(pattern: Pattern, out: Pattern, into: Pattern) -> Pattern:
     return tuple(sorted(rest.elements(), reverse=True))
 
 
-def local_search(plan: Counter[Pattern], capacity: int, steps: int = 1_000) -> Counter[Pattern]:
-    """Empties underfull bins by moves and exchanges that raise the sum of squared fills.
+class _Sums:
+    """What a pattern can give or take, as bit sets of lengths (bit x: a sum of x).
 
-    ``steps`` bounds the exchanges (the effort; every piece stays packed at any bound)."""
+    ``one`` and ``two`` are the sums of one and of two of its pieces; ``for_one`` and
+    ``for_two`` the sums that it can take, one or two pieces, to be fuller afterwards."""
+
+    def __init__(self, pattern: Pattern, room: int):
+        counts = Counter(pattern)
+        self.one = self.two = 0
+        for size in counts:
+            self.one |= 1 << size
+        for size, n in counts.items():
+            alone = self.one if n > 1 else self.one & ~(1 << size)
+            self.two |= alone << size
+        self.for_one = _raised(1 | self.one | self.two, room)
+        self.for_two = _raised(self.one, room)
+
+
+def _raised(sums: int, room: int) -> int:
+    """All sums raised by 1 to ``room``."""
+    out, width = sums, 1  # raised by 0 to width - 1
+    while width < room:
+        step = min(width, room - width)
+        out |= out << step
+        width += step
+    return out << 1
+
+
+def local_search(plan: Counter[Pattern], capacity: int) -> Counter[Pattern]:
+    """Empties underfull bins by moves and exchanges that raise the sum of squared fills,
+    until none is left or the bins are as few as the number of tokens allows.
+
+    Whether a pattern can become fuller by another depends on these two alone.  Patterns are
+    therefore listed whenever they come up (``births``), and a source that failed is compared
+    only with those that came up since (``seen``); bit sets tell which pairs can improve."""
     plan = Counter({tuple(sorted(p, reverse=True)): n for p, n in plan.items() if n})
     tokens = sum(sum(p) * n for p, n in plan.items())
-    fewest = -(-tokens // capacity)
-    settled: set[Pattern] = set()  # nothing improves from these
-    while steps > 0 and sum(plan.values()) > fewest:
-        under = sorted((p for p in plan if sum(p) < capacity), key=lambda p: (sum(p), p))
-        source = next((p for p in under if p not in settled), None)
-        if source is None:
-            break
-        for target in under:  # those with the most room first
-            if target == source and plan[source] < 2 or sum(target) < sum(source):
-                continue
-            gain, give, take = _exchange(target, source, capacity - sum(target))
-            if not gain:
-                continue
-            times = plan[source] // 2 if target == source else min(plan[source], plan[target])
-            plan[source] -= times
-            plan[target] -= times
-            plan[_changed(target, give, take)] += times
-            rest = _changed(source, take, give)
-            if rest:
-                plan[rest] += times
-            plan = +plan
-            settled.clear()
-            steps -= 1
+    bins, fewest = sum(plan.values()), -(-tokens // capacity)
+    under = sorted((sum(p), p) for p in plan if sum(p) < capacity)  # the emptiest first
+    births, seen = list(under), dict.fromkeys(under, 0)
+    sums = {p: _Sums(p, capacity - fill) for fill, p in under}
+
+    def add(pattern: Pattern, times: int) -> None:
+        before = plan[pattern]
+        plan[pattern] += times
+        entry = sum(pattern), pattern
+        if entry[0] == capacity:
+            return
+        if not plan[pattern]:
+            del under[bisect_left(under, entry)]
+            del plan[pattern], sums[pattern]
+        elif not before:
+            insort(under, entry)
+            sums[pattern] = _Sums(pattern, capacity - entry[0])
+        if plan[pattern] > before < 2:  # new, or no longer alone
+            births.append(entry)
+
+    def improvable(source: tuple[int, Pattern]) -> Pattern | None:
+        """The target with the most room that ``source`` can make fuller."""
+        since = seen.get(source, 0)
+        new = births[since:]
+        if len(new) < len(under):
+            targets = sorted({t for t in new if t >= (source[0],) and plan[t[1]]})
+        else:
+            targets = under[bisect_left(under, (source[0],)):]
+        one, two = sums[source[1]].one, sums[source[1]].two
+        for target in targets:
+            held = sums[target[1]]
+            if (held.for_one & one or held.for_two & two) and (
+                    target != source or plan[source[1]] > 1):
+                return target[1]
+        seen[source] = len(births)
+        return None
+
+    while bins > fewest:
+        for entry in under:
+            if seen.get(entry, 0) < len(births) and (target := improvable(entry)) is not None:
+                break
+        else:
             break
+        source = entry[1]
+        _, give, take = _exchange(target, source, capacity - sum(target))
+        times = plan[source] // 2 if target == source else min(plan[source], plan[target])
+        add(source, -times)
+        add(target, -times)
+        add(_changed(target, give, take), times)
+        rest = _changed(source, take, give)
+        if rest:
+            add(rest, times)
         else:
-            settled.add(source)
-            steps -= 1
-    return plan
+            bins -= times
+    return +plan
 
 
 def places(plan: Counter[Pattern]) -> tuple[np.ndarray, ...]:

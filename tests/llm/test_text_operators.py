@@ -164,6 +164,27 @@ def test_local_search_improves_on_best_fit():
     assert sum(packing.local_search(packing.best_fit(histogram, 10), 10).values()) == 4
 
 
+def test_local_search_reaches_a_bin_behind_many_that_cannot_improve():
+    stuck = {(size,): 1 for size in range(5001, 6101)}  # the emptiest, tried first
+    plan = packing.Counter({**stuck, (475,) * 20: 1, (9525,): 20})
+    better = packing.local_search(plan, 10_000)
+    assert sum(better.values()) == sum(plan.values()) - 1
+    assert sorted(s for p, n in better.items() for s in p * n) == sorted(
+        s for p, n in plan.items() for s in p * n)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=60))
+def test_local_search_ends_only_when_nothing_improves(sizes):
+    plan = packing.local_search(packing.Counter((s,) for s in sizes), 60)
+    assert packing.Counter(s for p, n in plan.items() for s in p * n) == packing.Counter(sizes)
+    if sum(plan.values()) > -(-sum(sizes) // 60):
+        for source in plan:
+            for target in plan:
+                if sum(target) >= sum(source) and (target != source or plan[source] > 1):
+                    assert not packing._exchange(target, source, 60 - sum(target))[0]
+
+
 def test_both_tokenizer_libraries_agree_on_common_characters():
     """The faster library stands in only for texts of these characters."""
     encoder = packing.Encoder(
