@@ -15,8 +15,10 @@ exact, so a very long text costs no more per word than a short one.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import field, narrowed, text_blocks, texts_of
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_CODE = re.compile(r"[\d_@/]")  # in numbers, keys and addresses
 UNDETERMINED = "und"
 _STEP = 64  # words whose transfer matrix is multiplied up at a time
 _PRIMES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
@@ -38,10 +41,12 @@ class Model:
     weights: np.ndarray  # buckets x labels
     transitions: np.ndarray  # from x to
     start: np.ndarray
+    letters: tuple | None = None  # the fields of Letters
 
 
 def _plain(model: Model | None) -> tuple | None:
-    return model and (model.labels, model.weights, model.transitions, model.start)
+    return model and (
+        model.labels, model.weights, model.transitions, model.start, model.letters)
 
 
 def features(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -288,7 +293,121 @@ def train(
         usable = ~held_out(key)
     usable = usable & F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull()
     sample = training_sample(df, usable, per_language, key, text, lang)
-    return fit([t for t, _ in sample], [l for _, l in sample]) if sample else None
+    texts, labels = [t for t, _ in sample], [l for _, l in sample]
+    model = fit(texts, labels) if sample else None
+    letters = fit_letters(texts, labels) if model else None
+    if letters:
+        model.letters = letters.plain()
+    return model
+
+
+# --- words of no learned language -------------------------------------------------------
+
+@dataclass
+class Letters:
+    """How likely the letters of words are in each language, by their two letters before.
+
+    The labels' marginals sum to 1 and so cannot tell that a text is of none of them; the
+    likelihood of its letters can.  ``cut`` and the rest are calibrated on sample rows that
+    were not counted, see ``fit_letters``."""
+
+    triples: np.ndarray  # buckets x labels, logarithms of counts
+    pairs: np.ndarray
+    cut: float  # the least mean of a text's words
+    mean: float  # of the words of the learned languages
+    deviation: float
+
+    def plain(self) -> tuple:
+        return self.triples, self.pairs, self.cut, self.mean, self.deviation
+
+    def likely(self, words: list[str]) -> np.ndarray:
+        """words x labels: mean logarithm of the probability of a word's letters."""
+        if not words:
+            return np.zeros((0, self.triples.shape[1]))
+        triple, pair, begins = _letter_ids(words, len(self.triples))
+        sums = np.add.reduceat(self.triples[triple] - self.pairs[pair], begins, axis=0)
+        return sums / np.diff(np.append(begins, len(triple)))[:, None]
+
+    def known(self, mean: float, words: int) -> bool:
+        """Whether so many words of this mean may be of a learned language.  A few words
+        must lie further off than chance explains."""
+        return mean >= min(self.cut, self.mean - 8 * self.deviation / words ** 0.5)
+
+
+#: What is added to the counts of triples and of pairs: a pair that was not met makes every
+#: letter after it unlikely.
+_ADDED = (0.05, 60.0)
+
+
+def _separate(text: str) -> list[str]:
+    """Words that are no part of a number, key or address, unless there are no others."""
+    plain = " ".join(t for t in text.split() if not _CODE.search(t))
+    return WORD.findall(plain) or WORD.findall(text)
+
+
+def _letter_ids(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the letter triples of all words, word ends marked, and of their first two
+    letters; where each word's begin."""
+    marked = "".join(f"\x02{w}\x03" for w in words)
+    c = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))  # triples of a word
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1]) + 2 * np.repeat(np.arange(len(words)), lengths)
+    pair = (c[at] * _PRIMES[0] ^ (c[at] >> np.uint64(7))) + c[at + 1] * _PRIMES[1]
+    triple = (pair ^ (pair >> np.uint64(29))) * _PRIMES[2] + c[at + 2] * _PRIMES[3]
+    ids = [(((x ^ (x >> np.uint64(31))) * _PRIMES[0]) >> np.uint64(17)) % np.uint64(buckets)
+           for x in (triple, pair)]
+    return ids[0].astype(np.int64), ids[1].astype(np.int64), ends - lengths
+
+
+def fit_letters(
+    texts: list[str], labels: list[str], buckets: int = 1 << 16, seed: int = 3,
+) -> Letters | None:
+    """Letter statistics of four of five texts, with limits calibrated on the fifth.
+
+    The cut lies halfway between the texts of the learned languages (the language whose
+    lowest hundredth is lowest) and two kinds of texts that are of none: those of each language
+    when that language is left out, and those with their letters shuffled (the language and
+    kind whose median is highest; a sample also holds mixed and repetitive texts).  Where the
+    two sides overlap, the cut keeps the learned languages."""
+    names = sorted(set(labels))
+    found = [_separate(t.lower()) for t in texts]
+    counts = [np.full((buckets, len(names)), x) for x in _ADDED]
+    rng = np.random.default_rng(seed)
+    aside = rng.random(len(texts)) < 0.2
+    for words, label, held in zip(found, labels, aside, strict=True):
+        if words and not held:
+            for table, ids in zip(counts, _letter_ids(words, buckets)[:2], strict=True):
+                table[:, names.index(label)] += np.bincount(ids, minlength=buckets)
+    model = Letters(*(np.log(t).astype(np.float32) for t in counts), -np.inf, 0.0, np.inf)
+    own: dict[int, list[float]] = {}
+    others: dict[tuple[int, str], list[float]] = {}
+    single = []
+    for words, label, held in zip(found, labels, aside, strict=True):
+        words = words[:500]
+        if not held or len(words) < 20:
+            continue
+        sizes = np.fromiter(map(len, words), float, len(words))
+        at, likely = names.index(label), model.likely(words)
+        best = likely.max(axis=1)
+        single.append(best)
+        own.setdefault(at, []).append(float(np.average(best, weights=sizes)))
+        rest = np.delete(likely, at, axis=1)
+        if rest.size:
+            others.setdefault((at, "left out"), []).append(
+                float(np.average(rest.max(axis=1), weights=sizes)))
+        letters = "".join(rng.permutation(list("".join(words))))
+        ends = np.cumsum(sizes).astype(int)
+        mixed = [letters[e - len(w):e] for w, e in zip(words, ends, strict=True)]
+        others.setdefault((at, "shuffled"), []).append(
+            float(np.average(model.likely(mixed).max(axis=1), weights=sizes)))
+    if not single:
+        return None
+    low = min(float(np.quantile(v, 0.01)) for v in own.values())
+    model.cut = min(low, (low + max(float(np.median(v)) for v in others.values())) / 2)
+    every = np.concatenate(single)
+    model.mean, model.deviation = float(every.mean()), float(every.std())
+    return model
 
 
 # --- prediction -------------------------------------------------------------------------
@@ -298,23 +417,55 @@ class Labeller:
 
     def __init__(self, model: Model, remembered: int = 300_000):
         self.model, self.remembered = model, remembered
+        self.letters = Letters(*model.letters) if model.letters else None
         self.rows: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.labels)))
+        self.likely = self.sizes = np.zeros(0)
 
-    def label(self, texts: list[str]) -> tuple[list[int], np.ndarray]:
-        """Number of words of every text and the marginals of all words."""
+    def words(self, texts: list[str]) -> tuple[list[int], np.ndarray]:
+        """Number of words of every text and the rows of all words."""
         found = [WORD.findall(t.lower()) for t in texts]
         if len(self.rows) > self.remembered:
             self.rows, self.scores = {}, self.scores[:0]
+            self.likely = self.sizes = np.zeros(0)
         new = list(dict.fromkeys(w for ws in found for w in ws if w not in self.rows))
         self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
         self.scores = np.concatenate([self.scores, emissions(new, self.model.weights)])
         lengths = [len(ws) for ws in found]
-        codes = np.fromiter((self.rows[w] for ws in found for w in ws), np.int64, sum(lengths))
+        return lengths, np.fromiter(
+            (self.rows[w] for ws in found for w in ws), np.int64, sum(lengths))
+
+    def marginals(self, lengths: list[int], codes: np.ndarray) -> np.ndarray:
         if not len(codes):
-            return lengths, np.zeros((0, len(self.model.labels)))
+            return np.zeros((0, len(self.model.labels)))
         some = np.array([n for n in lengths if n], np.int64)
-        return lengths, marginals(self.scores[codes], some, self.model)
+        return marginals(self.scores[codes], some, self.model)
+
+    def label(self, texts: list[str]) -> tuple[list[int], np.ndarray]:
+        """Number of words of every text and the marginals of all words."""
+        lengths, codes = self.words(texts)
+        return lengths, self.marginals(lengths, codes)
+
+    def known(self, texts: list[str], lengths: list[int], codes: np.ndarray) -> list[bool]:
+        """Whether the letters of each text's words are those of learned languages, each word
+        in the language that suits it best; ``lengths`` and ``codes`` are those of ``words``."""
+        if self.letters is None:
+            return [n > 0 for n in lengths]
+        new = list(islice(self.rows, len(self.likely), None))
+        if new:
+            self.likely = np.concatenate([self.likely, self.letters.likely(new).max(axis=1)])
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, new), float, len(new))])
+        at, out = 0, []
+        for value, n in zip(texts, lengths, strict=True):
+            own, sizes = self.likely[codes[at:at + n]], self.sizes[codes[at:at + n]]
+            at += n
+            if n and _CODE.search(value):
+                words = _separate(value.lower())
+                own = self.letters.likely(words).max(axis=1)
+                sizes = np.fromiter(map(len, words), float, len(words))
+            out.append(n > 0 and self.letters.known(
+                float(own @ sizes / sizes.sum()), len(own)))
+        return out
 
 
 def identify(
@@ -372,7 +523,8 @@ def identify(
 
 def kept(df: DataFrame, model: Model | None, least: float, text: str = "text") -> DataFrame:
     """The rows of ``df`` whose text has a language with a mean marginal of at least
-    ``least``; all columns stay.  Without a model only rows without a letter go."""
+    ``least`` and letters likely in the learned languages; all columns stay.  Without a model
+    only rows without a letter go."""
     shared = df.sparkSession.sparkContext.broadcast(_plain(model))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,10 +538,10 @@ def kept(df: DataFrame, model: Model | None, least: float, text: str = "text") -
                 if labeller is None:
                     good += [bool(WORD.search(t)) for t in texts]
                     continue
-                lengths, probable = labeller.label(texts)
-                at = 0
-                for n in lengths:
-                    good.append(bool(n) and probable[at:at + n].mean(axis=0).max() >= least)
+                lengths, codes = labeller.words(texts)
+                probable, at = labeller.marginals(lengths, codes), 0
+                for n, known in zip(lengths, labeller.known(texts, lengths, codes), strict=True):
+                    good.append(known and probable[at:at + n].mean(axis=0).max() >= least)
                     at += n
             yield batch.filter(pa.array(good, pa.bool_()))
 
