@@ -45,6 +45,35 @@ class Facts:
     repeated: int  # words equal to the word before
     distinct: int  # different words
     wordless: int  # words without a letter or digit
+    insults: int  # places of words of the insult list
+
+
+#: General insults of four languages, as separate words in any case: abuse, contempt, slurs on
+#: intelligence.  A list in its nature is not complete; ambiguous words count as well.
+INSULTS = frozenset("""
+    idiot idiots idiotic moron morons moronic imbecile imbeciles cretin cretins dumbass dumb
+    stupid fool fools dimwit halfwit loser losers clown clowns scum scumbag scumbags trash
+    garbage vermin filth filthy pathetic worthless disgusting despicable repulsive pig pigs
+    swine bastard bastards bitch bitches asshole assholes jerk jerks whore slut shit fuck
+    fucking fucker bullshit crap retard retarded freak freaks creep creeps parasite parasites
+    degenerate degenerates subhuman coward cowards
+    idioten dumm dummkopf trottel depp arschloch abschaum versager wichser schlampe hure
+    drecksau scheiße widerlich erbärmlich wertlos missgeburt
+    idiote idiots imbécile crétin connard connasse salaud salope ordure racaille minable
+    pathétique dégoûtant pourriture merde putain abruti
+    idiota idiotas imbécil estúpido estúpida cabrón gilipollas basura escoria patético
+    asqueroso mierda puta perdedor inútil payaso
+""".split())
+_EDGES = ".,;:!?\"'()[]{}<>*#$%&|~_-+=/\\…“”„‚‘’«»¿¡—–"
+
+
+def insults_of(counts: Counter[str]) -> int:
+    return sum(n for w, n in counts.items() if w.strip(_EDGES).lower() in INSULTS)
+
+
+def abusive(insults: int, words: int) -> bool:
+    """Two insults at least, and one in 400 words; in a few words a single one."""
+    return insults >= (2 if words >= 50 else 1) and 400 * insults >= words
 
 
 def facts_of(text: str, words: list[str], counts: Counter[str]) -> Facts:
@@ -66,7 +95,8 @@ def facts_of(text: str, words: list[str], counts: Counter[str]) -> Facts:
         decorated=sum(n for w, n in odd if not w[-2:-1].isalnum() and len(w) > 1),
         frequent=max(counts.values(), default=0), repeated=_repeated(words),
         distinct=len(counts),
-        wordless=sum(n for w, n in odd if not any(map(str.isalnum, w))))
+        wordless=sum(n for w, n in odd if not any(map(str.isalnum, w))),
+        insults=insults_of(counts))
 
 
 def _repeated(words: list[str]) -> int:
@@ -97,8 +127,13 @@ LABELLERS = {
     "variety": lambda f: _long(f, _band(f.words - f.distinct, f.words, 0.7, 0.9)
                                if f.words < 2000 else SILENT),
     "word_length": lambda f: _long(f, GOOD if 2.5 * f.words <= f.letters <= 15 * f.words else BAD),
+    "toxic": lambda f: BAD if abusive(f.insults, f.words) else SILENT,
 }
 
+#: Toxic texts may be faultless prose, so the other votes say nothing of them: this vote settles
+#: the matter, and such texts teach neither the other labellers' accuracies nor the scorer.
+_TOXIC, _TOXIC_SCORE = list(LABELLERS).index("toxic"), 0.005
+
 
 def votes(text: str, words: list[str], counts: Counter[str]) -> str:
     facts = facts_of(text, words, counts)
@@ -121,6 +156,8 @@ class VoteModel:
 
     def posterior(self, pattern: str) -> float:
         """Probability that a text with these votes is good."""
+        if pattern[_TOXIC] == BAD:
+            return _TOXIC_SCORE
         kinds = [(GOOD, BAD, SILENT).index(v) for v in pattern]
         told = [(i, kind) for i, kind in enumerate(kinds) if kind < 2]  # silence says nothing
         logs = sum((np.log(self.chances[i, :, kind]) for i, kind in told), np.zeros(2))
@@ -137,7 +174,7 @@ def estimate(patterns: dict[str, int], rounds: int = 100, belief: float = 0.2) -
     """Expectation-maximisation on pattern counts; what is believed beforehand weighs as much
     as ``belief`` times the documents of a class, so it means the same at every size."""
     size = len(LABELLERS)
-    names = sorted(patterns)
+    names = sorted(p for p in patterns if p[_TOXIC] != BAD)
     kinds = np.array([[(GOOD, BAD, SILENT).index(v) for v in p] for p in names],
                      int).reshape(-1, size)
     counts = np.array([patterns[p] for p in names], float)
@@ -242,7 +279,8 @@ class Scorer:
         repeated, frequent = _faults(words, counts)
         total += self.weights[size] * repeated + self.weights[size + 1] * frequent
         x = self.bias + float(total) / _damped(len(words))
-        return float(1 / (1 + math.exp(-min(50.0, max(-50.0, x)))))
+        found = float(1 / (1 + math.exp(-min(50.0, max(-50.0, x)))))
+        return min(found, _TOXIC_SCORE) if abusive(insults_of(counts), len(words)) else found
 
 
 def fit_scorer(
@@ -251,7 +289,8 @@ def fit_scorer(
 ) -> Scorer:
     """Logistic regression on posterior labels by AdaGrad; the two sides weigh alike."""
     scorer = Scorer(np.zeros(buckets + 2), 0.0, model)
-    rows = [(*scorer.features(t), model.posterior(votes_of(t))) for t in texts if t.split()]
+    told = [(t, votes_of(t)) for t in texts if t.split()]
+    rows = [(*scorer.features(t), model.posterior(v)) for t, v in told if v[_TOXIC] != BAD]
     held, held_bias = np.full(buckets + 2, 1e-2), 1e-2
     good = sum(p for *_, p in rows)
     side = (len(rows) / (2 * max(len(rows) - good, 1)), len(rows) / (2 * max(good, 1)))

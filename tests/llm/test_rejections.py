@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 import corpus_pipeline
-from tablewright.llm import language
+from tablewright.llm import language, quality
 
 SF_DIR = Path("/root/testdata/sf0.1")
 
@@ -64,3 +64,33 @@ def test_documents_of_languages_that_were_not_learned_go(spark):
     before, after = counts(docs), counts(left)
     assert (after["en"], after["fr"]) == (before["en"], before["fr"])
     assert after.get("de", 0) + after.get("es", 0) <= 0.02 * (before["de"] + before["es"])
+
+
+def test_toxic_prose_goes_and_a_single_word_in_a_long_text_does_not(spark):
+    rng = random.Random(5)
+    plain = [prose(rng, "bb", 120) for _ in range(60)] + [prose(rng, "bb", 3000) + " stupid."]
+    toxic = [" ".join([prose(rng, "bb", 40), "Idiot,", prose(rng, "bb", 40), "scum!"])
+             for _ in range(20)] + ["you pathetic moron"]
+    df = spark.createDataFrame(list(enumerate([*plain, *toxic])), "doc_id long, text string")
+    scorer = quality.train(df)
+    found = {r["doc_id"]: r for r in quality.classify(df, scorer).collect()}
+    assert [found[i]["keep"] for i in range(len(found))] == [True] * 61 + [False] * 21
+    assert all(found[i]["posterior"] < 0.5 for i in range(61, 82))
+    assert {r["doc_id"] for r in quality.kept(df, scorer).collect()} == set(range(61))
+
+
+@pytest.mark.skipif(not SF_DIR.exists(), reason="benchmark tables not present")
+def test_labelled_toxic_documents_go(spark):
+    """English ones: those in other languages hold invented words that no list has."""
+    docs = spark.read.parquet(str(SF_DIR / "documents.parquet")).filter("doc_id % 4 = 0")
+    docs = docs.filter("lang = 'en'")
+    left = quality.kept(docs, quality.train(docs))
+    labels = spark.read.parquet(str(SF_DIR / "labels.parquet")).filter("quality = 1")
+
+    def counts(df):
+        return {r["toxic"]: r["count"] for r in
+                df.join(labels, "doc_id").groupBy("toxic").count().collect()}
+
+    before, after = counts(docs), counts(left)
+    assert after.get(1, 0) <= 0.05 * before[1]
+    assert after[0] >= 0.99 * before[0]
