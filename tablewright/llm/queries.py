@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    byte_bpe, fingerprints, language, licenses, packing, quality, setsketch, suffix_dedup,
-    token_counts, topk,
+    byte_bpe, centroids, filter_audit, fingerprints, language, licenses, mixing, packing, quality,
+    setsketch, suffix_dedup, token_counts, topk,
 )
 from tablewright.llm.common import table
 
@@ -94,6 +94,24 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("samples"), F.col("next_samples")).alias("near_next"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents")).by_document()
+    return found.select(
+        F.col("key").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("key").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+        centroids.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _TOP_K = """
 WITH rows AS (
   SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
@@ -112,6 +130,145 @@ WITH rows AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+_MIXING = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, source, md5(coalesce(text, '')) AS mark,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, number % 3 + 1 AS weight, 3 * source_size AS most,
+    CAST(3 * source_size AS DOUBLE) / (number % 3 + 1) AS stops FROM s
+), p AS (
+  SELECT *, CAST((SELECT sum(source_size) FROM s)
+      - coalesce(sum(most) OVER before, 0) AS DOUBLE)
+    / ((SELECT sum(weight) FROM w) - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM w WINDOW before AS (ORDER BY stops, number
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT source, source_size, number,
+    CASE WHEN level * weight >= most THEN CAST(most AS DOUBLE)
+      ELSE (SELECT max(level) FROM p WHERE level * weight < most) * weight END AS target FROM p
+), q AS (
+  SELECT d.*, number, target, CAST(ceil(target) AS BIGINT) AS ends, pass,
+    md5(concat_ws(':', pass, doc_id, mark)) AS place
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source,
+    unnest(generate_series(1, CAST(ceil(target / source_size) AS BIGINT))) AS passes(pass)
+  WHERE size > 0 AND target > 0
+), b AS (
+  SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY number ORDER BY pass, place, row
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin_word FROM q
+), f AS (
+  SELECT *, least(size, ends - begin_word) AS words,
+    (begin_word + least(size, ends - begin_word)) / target AS finish
+  FROM b WHERE begin_word < ends
+), m AS (
+  SELECT row, words, CAST(coalesce(sum(words) OVER (ORDER BY finish, number, pass, place, row
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS position FROM f
+), k AS (
+  SELECT row, sum(least(words, (SELECT sum(source_size) FROM s) - position)) AS taken FROM m
+  WHERE position < (SELECT sum(source_size) FROM s) GROUP BY row
+)
+SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+  CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN k USING (row)
+"""
+
+
+def _centroid_rounds(rounds: int) -> str:
+    parts = ["""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+    [CAST(floor(greatest(least(256 * CAST(x AS DOUBLE), 134217728), -134217728)) AS DOUBLE)
+     FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+)""", """c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY digest NULLS LAST, v) - 1 AS cluster, v FROM (
+    SELECT v, sha256('2:' || vec_id) AS digest FROM kept ORDER BY digest NULLS LAST, v LIMIT 40)
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT kept.row, min(struct_pack(distance := CAST(list_inner_product(kept.v, kept.v)
+    - 2 * list_inner_product(kept.v, c.v) + list_inner_product(c.v, c.v) AS BIGINT),
+    cluster := c.cluster)) AS best
+  FROM kept, c{i} c GROUP BY kept.row
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(moved.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT cluster, list(floor(total / n) ORDER BY place) AS v FROM (
+      SELECT cluster, place, sum(x) AS total, count(*) AS n FROM (
+        SELECT best.cluster AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place
+        FROM kept JOIN a{i} USING (row))
+      GROUP BY cluster, place)
+    GROUP BY cluster) moved USING (cluster)
+)""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, CAST(best.cluster AS INTEGER) AS cluster, best.distance AS distance,
+  CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.distance) OVER () AS BIGINT) AS inertia,
+  sha256(list_aggregate([CAST(CAST(x AS BIGINT) AS VARCHAR) FOR x IN c.v], 'string_agg', ','))
+    AS centroid_sha256
+FROM kept JOIN a{rounds} a USING (row) JOIN c{rounds} c ON a.best.cluster = c.cluster
+"""
+
+
+_FILTER_AUDIT = """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words,
+    min(doc_id) OVER (PARTITION BY text) AS first_id FROM d
+), l AS (
+  SELECT doc_id, max(CAST(coalesce(quality = 1, FALSE) AS INT)) AS good,
+    max(CAST(coalesce(toxic = 1, FALSE) AS INT)) AS toxic
+  FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(words) < 50 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text)
+       THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN doc_id > first_id THEN 16 ELSE 0 END) AS mask
+  FROM w LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL
+), f AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM f a, f b, f c, f d, f e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), s AS (
+  SELECT filter_order, step, bit,
+    (SELECT coalesce(sum(g.bit), 0) FROM f g
+     WHERE strpos(filter_order, g.letter) < step) AS earlier
+  FROM o, unnest([1, 2, 3, 4, 5]) AS steps(step), f
+  WHERE substr(filter_order, step, 1) = letter
+), r AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (earlier | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & earlier = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & earlier > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & earlier = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & earlier = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, (SELECT filter_order, step, bit, CAST(earlier AS INTEGER) AS earlier FROM s)
+  GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language": op2_language,
@@ -123,6 +280,14 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_licenses": op9_licenses,
     "op10_fingerprints": op10_fingerprints,
+    "op11_mixing": op11_mixing,
+    "op12_centroids": op12_centroids,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-ORACLES: dict[str, str] = {"op7_topk": _TOP_K}
+ORACLES: dict[str, str] = {
+    "op7_topk": _TOP_K,
+    "op11_mixing": _MIXING,
+    "op12_centroids": _centroid_rounds(5),
+    "op13_filter_audit": _FILTER_AUDIT,
+}
