@@ -231,7 +231,8 @@ class Rules:
 
     # physical tuning: none of these changes a result
     block_head: int = 256
-    block_classes: int = 2048
+    block_classes: int = 8192
+    block_entries: int = 8_000_000
 
     def with_(self, **changes) -> "Rules":
         """A copy with some values replaced."""
