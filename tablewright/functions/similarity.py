@@ -2,14 +2,22 @@
 
 ``indel_score`` is the share of characters two strings have in common in order
 (twice the longest common subsequence over the summed lengths), as an integer
-percentage.  It runs as an Arrow-batched function and is always placed behind
-native filters that cannot reject a qualifying pair.
+percentage.  It runs on Arrow batches and is always placed behind native filters that
+cannot reject a qualifying pair.
+
+A batch is computed as a whole: the rows of the dynamic programme are bits, 64 to a word
+(Hyyrö 2004), and one step takes the next character of every text of the batch at once.
+Common beginnings and ends are cut off before; with a least score, pairs that cannot reach
+it any more leave the batch on the way.
 """
 
 from __future__ import annotations
 
+import functools
 import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -21,63 +29,184 @@ from tablewright.functions.text import BLANK
 # Executors need not have this package installed: its few lines travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one big-integer word per column
-    (bit-parallel dynamic programming, Hyyrö 2004)."""
-    if len(a) > len(b):
-        a, b = b, a
+#: Words of a batch and of its match table at most (8 bytes each), and characters of its texts.
+_BATCH_WORDS, _TABLE_WORDS, _BATCH_CHARACTERS = 1 << 17, 1 << 23, 1 << 23
+#: Characters between two looks at who can still reach the least score.
+_STRIDE = 64
+
+
+class _Pairs:
+    """Pairs of texts as ranges of one array of code points, the shorter text first."""
+
+    def __init__(self, left: Sequence[str], right: Sequence[str]) -> None:
+        texts = [*left, *right]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.codes = np.frombuffer(
+            "".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        begins = np.cumsum(lengths) - lengths
+        n = len(left)
+        swap = lengths[:n] > lengths[n:]
+        self.size = np.where(swap, lengths[n:], lengths[:n])
+        self.other_size = np.where(swap, lengths[:n], lengths[n:])
+        self.begin = np.where(swap, begins[n:], begins[:n])
+        self.other_begin = np.where(swap, begins[:n], begins[n:])
+        self.total = self.size + self.other_size
+
+    def trim(self) -> np.ndarray:
+        """Cuts off common beginnings, then common ends; their lengths."""
+        ahead = self._run(self.begin, self.other_begin, 1)
+        self.begin, self.other_begin = self.begin + ahead, self.other_begin + ahead
+        self.size, self.other_size = self.size - ahead, self.other_size - ahead
+        back = self._run(self.begin + self.size - 1, self.other_begin + self.other_size - 1, -1)
+        self.size, self.other_size = self.size - back, self.other_size - back
+        return ahead + back
+
+    def _run(self, here: np.ndarray, there: np.ndarray, step: int) -> np.ndarray:
+        run = np.zeros(len(here), np.int64)
+        rows = np.flatnonzero(self.size)
+        window = np.arange(_STRIDE)
+        while len(rows):
+            at = run[rows, None] + window
+            inside = at < self.size[rows, None]
+            at = np.where(inside, at, 0) * step
+            same = inside & (self.codes[here[rows, None] + at] == self.codes[there[rows, None] + at])
+            equal = np.where(same.all(1), _STRIDE, same.argmin(1))
+            run[rows] += equal
+            rows = rows[equal == _STRIDE]
+        return run
+
+    def characters(self, rows: np.ndarray, other: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row (its number in ``rows``), place and code of every character."""
+        sizes = (self.other_size if other else self.size)[rows]
+        row = np.repeat(np.arange(len(rows)), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        begins = (self.other_begin if other else self.begin)[rows]
+        return row, place, self.codes[begins[row] + place]
+
+
+def _batches(pairs: _Pairs, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of similar length together, in batches of bounded memory."""
+    rows = rows[np.lexsort((pairs.other_size[rows], pairs.size[rows]))]
+    words = (pairs.size[rows] + 63) // 64
+    longest = np.maximum.accumulate(pairs.other_size[rows])
     start = 0
-    limit = len(a)
-    while start < limit and a[start] == b[start]:
-        start += 1
-    end = 0
-    while end < limit - start and a[-1 - end] == b[-1 - end]:
-        end += 1
-    a, b = a[start : len(a) - end], b[start : len(b) - end]
-    if not a:
-        return start + end
-    places: dict[str, int] = {}
-    for position, character in enumerate(a):
-        places[character] = places.get(character, 0) | (1 << position)
-    full = (1 << len(a)) - 1
-    row = full
-    for character in b:
-        matches = places.get(character)
-        if matches is not None:
-            shared = row & matches
-            row = ((row + shared) | (row - shared)) & full
-    return start + end + len(a) - row.bit_count()
-
-
-def indel_percent(a: str, b: str) -> int:
-    total = len(a) + len(b)
-    if total == 0:
-        return 100
-    distance = total - 2 * common_subsequence(a, b)
-    return int((1.0 - distance / total) * 100)
-
-
-@F.pandas_udf(IntegerType())
-def _indel_score(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if a is None or b is None else indel_percent(a, b)
-            for a, b in zip(left, right)
-        ],
-        dtype="Int32",
-    )
-
-
-# Declared nondeterministic only so that a filter on the score is not pushed below the
-# projection, which would run the function twice.
-_scored_once = _indel_score.asNondeterministic()
-
-
-def indel_score(left: Column, right: Column) -> Column:
-    """Similarity 0-100 of two strings; null when one is null.  Equal strings, the most
-    frequent case among copies, are settled without Python."""
-    score = _scored_once(F.when(left != right, left), F.when(left != right, right))
+    for i in range(1, len(rows) + 1):
+        held = i + 1 - start
+        if i == len(rows) or held * words[i] > _BATCH_WORDS or held * longest[i] > _BATCH_CHARACTERS:
+            yield rows[start:i]
+            start = i
+
+
+def _needed(total: np.ndarray, least: int) -> np.ndarray:
+    """Characters in common below which the score is certainly less than ``least``."""
+    return np.ceil(least * total / 200 - 1e-6)
+
+
+def common_subsequences(left: Sequence[str], right: Sequence[str], least: int = 0) -> np.ndarray:
+    """Lengths of the longest common subsequences; -1 where the score is below ``least``
+    for certain."""
+    pairs = _Pairs(left, right)
+    needed = _needed(pairs.total, least)
+    common = np.where(pairs.size < needed, -1, 0)
+    pairs.size = np.where(common < 0, 0, pairs.size)
+    trimmed = pairs.trim()
+    common = np.where(common < 0, -1, trimmed)
+    stack = list(_batches(pairs, np.flatnonzero(pairs.size)))
+    while stack:
+        rows = stack.pop()
+        row, place, code = pairs.characters(rows, other=False)
+        names, symbol = np.unique(row << 21 | code, return_inverse=True)
+        words = int((pairs.size[rows].max() + 63) // 64)
+        if len(names) * words > _TABLE_WORDS and len(rows) > 1:
+            stack += [rows[:len(rows) // 2], rows[len(rows) // 2:]]
+            continue
+        order = np.argsort(-pairs.other_size[rows], kind="stable")
+        other_row, other_place, other_code = pairs.characters(rows, other=True)
+        other_name = other_row << 21 | other_code
+        other_symbol = np.searchsorted(names, other_name)
+        known = names[np.minimum(other_symbol, len(names) - 1)] == other_name
+        other_symbol = np.where(known, other_symbol, len(names))
+        if least:  # characters that both have, counted with repetition
+            shared = np.minimum(np.bincount(symbol, minlength=len(names)),
+                                np.bincount(other_symbol, minlength=len(names) + 1)[:-1])
+            most = trimmed[rows] + np.bincount(names >> 21, shared, len(rows))
+            hopeless = most < needed[rows]
+            common[rows[hopeless]] = -1
+            order = order[~hopeless[order]]
+        matches = np.zeros((len(names) + 1, words), np.uint64)
+        np.bitwise_or.at(matches, (symbol, place >> 6),
+                         np.left_shift(np.uint64(1), (place & 63).astype(np.uint64)))
+        texts = np.full((int(pairs.other_size[rows].max()), len(rows)), len(names), np.int64)
+        texts[other_place, other_row] = other_symbol
+        found = _advance(matches, texts[:, order], pairs.other_size[rows[order]],
+                         needed[rows[order]] - trimmed[rows[order]])
+        common[rows[order]] = np.where(found < 0, -1, trimmed[rows[order]] + found)
+    return common
+
+
+def _advance(matches: np.ndarray, texts: np.ndarray, sizes: np.ndarray,
+             needed: np.ndarray) -> np.ndarray:
+    """Common subsequences of patterns (their places by symbol) and texts (symbols by place,
+    a column for each pair, longest first)."""
+    found = np.full(len(sizes), -1, np.int64)
+    alive = np.arange(len(sizes))
+    state = np.full((len(sizes), matches.shape[1]), ~np.uint64(0))
+    for place in range(len(texts)):
+        active = int(np.searchsorted(-sizes, -place))
+        if place % _STRIDE == 0 and place:
+            reached = (np.bitwise_count(~state).sum(1, dtype=np.int64)
+                       + np.maximum(sizes - place, 0))
+            kept = np.flatnonzero(reached >= needed)
+            if len(kept) < len(alive):
+                alive, state, sizes, needed = alive[kept], state[kept], sizes[kept], needed[kept]
+                texts = texts[:, kept]
+                active = int(np.searchsorted(-sizes, -place))
+        if not active:
+            break
+        mask = matches[texts[place, :active]]
+        row = state[:active]
+        shared = row & mask
+        total = row + shared
+        carry = total < shared
+        while carry.shape[1] > 1 and carry[:, :-1].any():
+            ahead = np.zeros_like(total)
+            ahead[:, 1:] = carry[:, :-1]
+            total += ahead
+            carry = total < ahead
+        state[:active] = total | (row & ~mask)
+    found[alive] = np.bitwise_count(~state).sum(1, dtype=np.int64)
+    return found
+
+
+def indel_percents(left: Sequence[str], right: Sequence[str], least: int = 0) -> np.ndarray:
+    """Scores 0-100; -1 for scores below ``least``."""
+    total = np.fromiter(map(len, left), np.int64, len(left)) + np.fromiter(
+        map(len, right), np.int64, len(right))
+    common = common_subsequences(left, right, least)
+    score = ((1.0 - (total - 2 * common) / np.maximum(total, 1)) * 100).astype(np.int64)
+    score = np.where(total == 0, 100, score)
+    return np.where((common < 0) | (score < least), -1, score)
+
+
+@functools.cache
+def _scorer(least: int):
+    @F.pandas_udf(IntegerType())
+    def score(left: pd.Series, right: pd.Series) -> pd.Series:
+        both = (left.notna() & right.notna()).to_numpy()
+        found = pd.Series(pd.array([None] * len(left), "Int32"))
+        if both.any():
+            found[both] = indel_percents(left[both].tolist(), right[both].tolist(), least)
+        return found
+
+    # Declared nondeterministic only so that a filter on the score is not pushed below the
+    # projection, which would run the function twice.
+    return score.asNondeterministic()
+
+
+def indel_score(left: Column, right: Column, least: int = 0) -> Column:
+    """Similarity 0-100 of two strings; null when one is null, -1 when below ``least``.
+    Equal strings, the most frequent case among copies, are settled without Python."""
+    score = _scorer(least)(F.when(left != right, left), F.when(left != right, right))
     return F.when(left == right, F.lit(100)).otherwise(score)
 
 

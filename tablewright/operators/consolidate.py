@@ -133,7 +133,8 @@ def similar_names(score: int):
                 f"cast(({100 - score} * (length(lo) + length(hi))) div 100 + 1 as int)) >= 0"
             )
         )
-        return near.withColumn("score", indel_score(F.lower("lo"), F.lower("hi"))).filter(F.col("score") >= score)
+        found = indel_score(F.lower("lo"), F.lower("hi"), score)
+        return near.withColumn("score", found).filter(F.col("score") >= score)
 
     return check
 

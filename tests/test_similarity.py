@@ -9,11 +9,43 @@ from tablewright.operators.consolidate import consolidate_names, name_mapping
 from tablewright.operators.leaders import absorb_blocks, absorb_edges
 
 
-def test_common_subsequence_equals_the_plain_recurrence():
-    rnd = random.Random(1)
-    for _ in range(1500):
-        a, b = ("".join(rnd.choices("abcü ", k=rnd.randint(0, 70))) for _ in range(2))
-        assert similarity.common_subsequence(a, b) == brute.common(a, b)
+def _pairs(seed, count=1500, longest=70):
+    rnd = random.Random(seed)
+    pairs = []
+    for _ in range(count):
+        a, b = ("".join(rnd.choices("abcü 𝒳", k=rnd.randint(0, longest))) for _ in range(2))
+        if rnd.random() < 0.5:  # near copies: long common beginnings and ends
+            b = list(a)
+            for _ in range(rnd.randint(0, 4)):
+                at = rnd.randint(0, len(b))
+                b[at:at + rnd.randint(0, 2)] = rnd.choices("abz", k=rnd.randint(0, 2))
+            b = "".join(b)
+        pairs.append((a, b))
+    return pairs + [("", ""), ("", "a"), ("a" * 64, "a" * 65), ("ab" * 200, "ba" * 180)]
+
+
+@pytest.mark.parametrize("seed, count, longest", [(1, 1500, 70), (2, 60, 400)])
+def test_common_subsequences_equal_the_plain_recurrence(seed, count, longest):
+    left, right = zip(*_pairs(seed, count, longest))
+    found = similarity.common_subsequences(left, right)
+    assert found.tolist() == [brute.common(a, b) for a, b in zip(left, right)]
+
+
+@pytest.mark.parametrize("least", [1, 50, 85, 90, 100])
+def test_early_exit_loses_no_score(least):
+    left, right = zip(*_pairs(least, 600, 200))
+    exact = [brute.percent(a, b) for a, b in zip(left, right)]
+    found = similarity.indel_percents(left, right, least).tolist()
+    assert found == [s if s >= least else -1 for s in exact]
+
+
+def test_carries_cross_many_words_and_batches_split(monkeypatch):
+    monkeypatch.setattr(similarity, "_TABLE_WORDS", 64)
+    monkeypatch.setattr(similarity, "_BATCH_CHARACTERS", 4096)
+    left, right = zip(*_pairs(9, 80, 300), ("x" * 700, "x" * 300 + "y" + "x" * 500))
+    assert similarity.common_subsequences(left, right).tolist() == [
+        brute.common(a, b) for a, b in zip(left, right)]
+    assert len(similarity.common_subsequences([], [])) == 0
 
 
 def test_scores(spark):
