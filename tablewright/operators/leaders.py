@@ -6,25 +6,44 @@ lexicographically first maximal independent set, which is computed here in round
 of joins: whoever has no undecided better-ranked neighbour leads, and the
 neighbours of new leaders are absorbed.
 
-Two entry points:
+Rounds take as long as the longest chain of nodes, so they are for large components only:
+nodes that no chain connects cannot matter to each other, and a component of up to
+:data:`TASK_EDGES` edges is settled in one go by one task.  Components come from a logarithmic
+number of star contractions, whatever the chains.
+
+Three entry points:
 
 * :func:`absorb_edges` - the similar pairs are already known (bounded per node);
 * :func:`absorb_blocks` - similar nodes share a block, and blocks may be huge.  Only
   the best-ranked ``head`` members of a block are compared with each other; the rest
   of a block is compared with confirmed leaders only, round after round, so no block
-  is ever expanded into all of its pairs and nothing is left out.
+  is ever expanded into all of its pairs and nothing is left out.  If all pairs of all
+  blocks are known to be few, they are compared at once;
+* :func:`absorb_groups` - every node is in one group, and a join finds the similar pairs of
+  what the first leaders leave.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.shared import spread, written
 
+# Executors need not have this package installed: its few lines travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Edges that one task settles at most (some hundred bytes each).
+TASK_EDGES = 250_000
+#: Pairs of all blocks up to which they are compared at once.
+FEW_PAIRS = 1_000_000
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -75,17 +94,140 @@ def _assigned(edges: DataFrame, absorbed: DataFrame) -> DataFrame:
     )
 
 
+def orderable(rank):
+    """A rank as something that Python can order: structs become tuples."""
+    return tuple(map(orderable, rank.values())) if isinstance(rank, dict) else rank
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``edges(lo, hi)`` to ``(node, component)``: each node with the smallest one it is
+    connected with.
+
+    Alternately every node hands its larger neighbours, then its smaller ones, to the smallest
+    node it knows (large-star and small-star, Kiveris et al. 2014): after a logarithmic number
+    of steps, even on a chain, each component is a star.  Edges are sums over neighbours at
+    most, and a node's minimum is aggregated before it is shuffled.
+    """
+    pairs = written(
+        edges.filter(F.col("lo") != F.col("hi"))
+        .select(F.least("lo", "hi").alias("low"), F.greatest("lo", "hi").alias("high")).distinct(),
+        "links")
+    while True:
+        both = pairs.unionByName(pairs.select(F.col("high").alias("low"), F.col("low").alias("high")))
+        both = both.toDF("node", "other")
+        least = both.groupBy("node").agg(F.min("other").alias("least"))
+        centre = F.least("node", "least")
+        starred = written(
+            both.join(least, "node").filter(F.col("other") > F.col("node"))
+            .select(centre.alias("low"), F.col("other").alias("high")).distinct(), "links")
+        # now towards the smallest of the smaller neighbours, the node itself included
+        least = starred.groupBy("high").agg(F.min("low").alias("least"))
+        joined = starred.join(least, "high")
+        contracted = joined.filter(F.col("low") != F.col("least")).select(
+            F.col("least").alias("low"), F.col("low").alias("high"))
+        contracted = written(
+            contracted.unionByName(least.select(F.col("least").alias("low"), "high")).distinct(),
+            "links")
+        if _digest(contracted) == _digest(pairs):
+            break
+        pairs = contracted
+    inner = contracted.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
+    return written(
+        inner.unionByName(contracted.select(F.col("high").alias("node"),
+                                            F.col("low").alias("component"))), "components")
+
+
+def _digest(links: DataFrame) -> tuple:
+    """Number of links and an order-free sum of their hashes."""
+    code = F.xxhash64("low", "high").cast("decimal(20,0)")
+    return tuple(links.agg(F.count("*"), F.sum(code)).first())
+
+
+def _settle_together(edges: DataFrame, by: list[str]) -> DataFrame:
+    """The sequential rule over all edges of a group, in one task: ``(node, leader, score)``."""
+    kinds = {f.name: f.dataType.simpleString() for f in edges.schema.fields}
+
+    def settled(table: pa.Table) -> pa.Table:
+        lo, hi, score, rank = (table.column(c).to_pylist() for c in ("lo", "hi", "score", "lo_rank"))
+        rank = list(map(orderable, rank))
+        leader: dict = {}
+        found: list[int] = []
+        for i in sorted(range(len(lo)), key=rank.__getitem__):
+            # better-ranked neighbours of ``lo`` have had their turn
+            if lo[i] not in leader and hi[i] not in leader:
+                leader[hi[i]] = lo[i]
+                found.append(i)
+        taken = table.take(pa.array(found, pa.int64()))
+        return pa.table({"node": taken.column("hi"), "leader": taken.column("lo"),
+                         "score": taken.column("score")})
+
+    return edges.groupBy(*by).applyInArrow(
+        settled, f"node {kinds['hi']}, leader {kinds['lo']}, score {kinds['score']}")
+
+
 def absorb_edges(edges: DataFrame) -> DataFrame:
     """``edges(lo, hi, lo_rank, score)`` to ``(node, leader, score)``."""
     edges = written(edges.select("lo", "hi", "lo_rank", "score"), "edges")
+    if edges.count() <= TASK_EDGES:
+        return _settle_together(edges.withColumn("all", F.lit(0)), ["all"])
+    dealt = written(
+        edges.join(components(edges).withColumnRenamed("node", "lo"), "lo"), "component-edges")
+    sizes = dealt.groupBy("component").agg(F.count("*").alias("size"))
+    giants = written(sizes.filter(F.col("size") > TASK_EDGES).select("component"), "giants")
+    small = _settle_together(dealt.join(giants, "component", "left_anti"), ["component"])
+    if giants.isEmpty():
+        return small
+    return small.unionByName(_absorb_in_rounds(
+        written(dealt.join(giants, "component", "left_semi").drop("component"), "edges")))
+
+
+def _absorb_in_rounds(edges: DataFrame) -> DataFrame:
     parts, _ = _settle(edges)
-    if not parts:
-        return edges.select(
-            F.col("hi").alias("node"), F.col("lo").alias("leader"), "score"
-        ).filter("false")
     return _assigned(edges, _union(parts)).select("node", "leader", "score")
 
 
+def absorb_groups(
+    groups: DataFrame,
+    similar: Callable[[DataFrame], DataFrame],
+    near: Callable[[DataFrame], DataFrame],
+    head: int = 256,
+) -> DataFrame:
+    """``groups(grp, node, rank)`` to ``(node, leader, score)``; every node is in one group.
+
+    The best-ranked ``head`` members of a group are compared with each other and its other
+    members with the leaders among them, which absorbs large crowds of similar nodes without
+    listing their pairs.  ``near`` turns the rest ``(grp, node, rank)`` into pairs ``(lo, hi,
+    lo_rank)`` of which the similar ones are a part, without trying all of them.
+    """
+    index = written(groups.select("grp", "node", "rank"), "groups")
+    by_rank = Window.partitionBy("grp").orderBy("rank")
+    heads = written(index.withColumn("place", F.row_number().over(by_rank)).filter(
+        F.col("place") <= head).drop("place"), "heads")
+    first = heads.select("grp", F.col("node").alias("lo"), F.col("rank").alias("lo_rank"))
+    second = heads.select("grp", F.col("node").alias("hi"), F.col("rank").alias("hi_rank"))
+
+    def edges_of(pairs: DataFrame) -> DataFrame:
+        pairs = written(spread(pairs.select("lo", "hi", "lo_rank"), "lo", "hi"), "pairs")
+        return similar(pairs).select("lo", "hi", "lo_rank", "score")
+
+    among = edges_of(first.join(second, "grp").filter(F.col("lo_rank") < F.col("hi_rank")))
+    taken = [written(absorb_edges(among), "absorbed")]
+    if index.count() == heads.count():
+        return taken[0]
+    leaders = heads.join(taken[0], "node", "left_anti").select(
+        "grp", F.col("node").alias("lo"), F.col("rank").alias("lo_rank"))
+    others = written(index.join(heads.select("node"), "node", "left_anti"), "others")
+    star = edges_of(others.select("grp", F.col("node").alias("hi")).join(leaders, "grp"))
+    taken.append(written(
+        star.groupBy(F.col("hi").alias("node"))
+        .agg(F.min_by(F.struct("lo", "score"), "lo_rank").alias("best"))
+        .select("node", F.col("best.lo").alias("leader"), "best.score"), "absorbed"))
+    rest = written(others.join(taken[1], "node", "left_anti"), "rest")
+    if not rest.isEmpty():
+        taken.append(absorb_edges(edges_of(near(rest))))
+    return _union(taken)
+
+
 def absorb_blocks(
     blocks: DataFrame,
     similar: Callable[[DataFrame], DataFrame],
@@ -109,6 +251,9 @@ def absorb_blocks(
         return similar(pairs).select("lo", "hi", "lo_rank", "score")
 
     index = written(blocks.select("block", "node", "rank"), "blocks")
+    sizes = index.groupBy("block").agg(F.count("*").cast("double").alias("n"))
+    if (sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0) <= FEW_PAIRS:
+        return absorb_edges(checked(_better_pairs(index, index)))
     by_rank = Window.partitionBy("block").orderBy("rank")
     edges: list[DataFrame] = []
     absorbed: list[DataFrame] = []
@@ -121,14 +266,7 @@ def absorb_blocks(
             ),
             "heads",
         )
-        first = heads.select("block", F.col("node").alias("lo"), F.col("rank").alias("lo_rank"))
-        second = heads.select("block", F.col("node").alias("hi"), F.col("rank").alias("hi_rank"))
-        pairs = (
-            first.join(second, "block")
-            .filter(F.col("lo_rank") < F.col("hi_rank"))
-            .select("lo", "hi", "lo_rank")
-        )
-        found = written(checked(pairs), "edges")
+        found = written(checked(_better_pairs(heads, heads)), "edges")
         edges.append(found)
 
         if index.count() == heads.count():  # no block is longer than its head
@@ -178,6 +316,14 @@ def absorb_blocks(
     return assigned.select("node", "leader", "score")
 
 
+def _better_pairs(these: DataFrame, those: DataFrame) -> DataFrame:
+    """Pairs of members of a block, the better-ranked first."""
+    first = these.select("block", F.col("node").alias("lo"), F.col("rank").alias("lo_rank"))
+    second = those.select("block", F.col("node").alias("hi"), F.col("rank").alias("hi_rank"))
+    return first.join(second, "block").filter(
+        F.col("lo_rank") < F.col("hi_rank")).select("lo", "hi", "lo_rank")
+
+
 def _star_pairs(index: DataFrame, leaders: DataFrame, heads: DataFrame) -> DataFrame:
     """New leaders against the members of their blocks that are outside the head."""
     led = index.join(leaders, "node", "left_semi").select(

@@ -839,12 +839,29 @@ def duplicate_export(spark, sf_dir):
 @query("pair_scores")
 def pair_scores(spark, sf_dir):
     documents = _documents(spark, sf_dir)
-    pairs = candidates.candidate_pairs(
-        documents, "doc_id", ["jobdescription"], ["country"], min_cosine=0.3
-    )
+    pairs = candidates.candidate_pairs(documents, "doc_id", ["jobdescription"], ["country"])
     return dedupe.pair_scores(documents, "doc_id", pairs)
 
 
+# Orders as ads whose text holds no search term: digits with blanks between them.  The groups
+# are order states, thousands of records each; a duplicate has the same digits.
+@query(
+    "termless_duplicates",
+    r"""WITH ads AS (SELECT o_orderkey AS id, array_to_string(list_sort(
+                       regexp_extract_all(CAST(o_custkey AS VARCHAR), '[0-9]')), ' ') AS digits,
+                       o_orderstatus AS state FROM orders),
+             led AS (SELECT id, min(id) OVER (PARTITION BY state, digits) AS leader FROM ads)
+        SELECT id AS node, leader, 100 AS score FROM led WHERE id <> leader""",
+)
+def termless_duplicates(spark, sf_dir):
+    orders = spread_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    digits = F.regexp_extract_all(F.col("o_custkey").cast("string"), F.lit("[0-9]"), F.lit(0))
+    ads_ = orders.select("o_orderkey", F.array_join(digits, " ").alias("jobdescription"),
+                         F.col("o_orderstatus").alias("country"))
+    return dedupe.find_duplicates(ads_, "o_orderkey", _EXACT_RULES).dropped.select(
+        "node", "leader", "score")
+
+
 # Parts seen as ads in families of four: near-equal texts, grades, places and coordinates, so
 # that every check both accepts and rejects pairs.  Valid in Spark SQL and in DuckDB.
 _FAMILY = (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import brute
 from tablewright.functions import similarity
 from tablewright.operators.consolidate import consolidate_names, name_mapping
+from tablewright.operators import leaders
 from tablewright.operators.leaders import absorb_blocks, absorb_edges
 
 
@@ -73,8 +74,41 @@ def test_leaders_by_edges(spark, seed):
     assert got == brute.leaders(nodes, lambda a, b: (a, b) in pairs)
 
 
-@pytest.mark.parametrize("head", [3, 100])
-def test_leaders_by_blocks(spark, head):
+@pytest.mark.parametrize("limit", [0, 12, 10 ** 6])
+def test_leaders_by_components(spark, monkeypatch, limit):
+    """Small components in tasks, giants in rounds, everything at once: all the same."""
+    monkeypatch.setattr(leaders, "TASK_EDGES", limit)
+    rnd = random.Random(limit)
+    pairs = {(7 * b + x, 7 * b + y) for b in range(20) for x in range(6) for y in range(x + 1, 7)
+             if rnd.random() < 0.4}
+    pairs |= {(i, i + 1) for i in range(140, 170)}
+    edges = spark.createDataFrame([(f"n{a:03}", f"n{b:03}", (a,), 99) for a, b in pairs],
+                                  "lo string, hi string, lo_rank struct<r: int>, score int")
+    got = {r.node: r.leader for r in absorb_edges(edges).collect()}
+    nodes = sorted({n for p in pairs for n in p})
+    expected = brute.leaders(nodes, lambda a, b: (a, b) in pairs)
+    assert got == {f"n{a:03}": f"n{b:03}" for a, b in expected.items()}
+
+
+def test_a_long_chain_takes_few_tables(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(leaders, "TASK_EDGES", 9_999)
+    original = leaders.written
+    monkeypatch.setattr(leaders, "written", lambda df, label: (tables.append(label), original(df, label))[1])
+    chain = spark.range(10_000).selectExpr("id AS lo", "id + 1 AS hi", "id AS lo_rank", "99 AS score")
+    other = spark.range(20_000, 20_400).selectExpr("id AS lo", "id + 1 AS hi", "id AS lo_rank", "99 AS score")
+    both = leaders.components(chain.unionByName(other))
+    assert {tuple(r) for r in both.groupBy("component").count().collect()} == {(0, 10_001), (20_000, 401)}
+    assert len(tables) < 60
+    tables.clear()
+    got = absorb_edges(chain.limit(9_999)).collect()
+    assert len(tables) < 5 and len(got) == 5_000
+    assert all(r.node == r.leader + 1 and r.leader % 2 == 0 for r in got)
+
+
+@pytest.mark.parametrize("few, head", [(0, 3), (0, 100), (10 ** 6, 3)])
+def test_leaders_by_blocks(spark, monkeypatch, few, head):
+    monkeypatch.setattr(leaders, "FEW_PAIRS", few)
     rnd = random.Random(head)
     blocks = [(b, n) for b in range(6) for n in rnd.sample(range(60), rnd.choice([4, 20, 45]))]
     members = {}
@@ -109,7 +143,8 @@ def _names(seed, size):
 
 
 @pytest.mark.parametrize("score, head", [(85, 256), (85, 16), (76, 64)])
-def test_name_mapping_equals_the_sequential_rule(spark, score, head):
+def test_name_mapping_equals_the_sequential_rule(spark, monkeypatch, score, head):
+    monkeypatch.setattr(leaders, "FEW_PAIRS", 0 if head < 256 else 10 ** 6)
     names = _names(score + head, 250) + [f"Anbieter {i:05}" for i in range(60)]
     df = spark.createDataFrame([(n,) for n in names], "name string")
     got = {r.name: r.canonical for r in name_mapping(df, "name", score, head).collect()}
