@@ -7,17 +7,23 @@ strictly better one, and starts are visited from left to right, so the longest l
 wins.  A character that no single-character piece covers may be an unknown piece (scored
 ten below the worst piece); it counts as many tokens as it has bytes (byte fallback).
 
-As long as no piece holds the word mark behind another character, a best path never crosses
-the beginning of a word, so every distinct word is solved once and remembered; the memory
-is emptied when full, which changes no result.  No shuffle takes place.
+Sums are rounded as the library rounds them: the score of an end is a single precision number,
+a candidate is compared before it is rounded (an unknown piece after).  So how a word is cut
+depends on the score before it: in long texts small differences disappear.
 
-Scores are summed in double precision.  The library itself adds single precision numbers,
-so it can differ where its sums are rounded.
+As long as no piece holds the word mark behind another character, a best path never crosses
+the beginning of a word, so every distinct word is solved once and remembered, for each way in
+which its sums can be rounded: that depends on the power of two below the score before it and on
+the last bit of that score, and only on these while the power stays the same.  Words of exact
+sums (whole scores below 2**24) are remembered once.  The memory is emptied when full, which
+changes no result.  No shuffle takes place.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -31,17 +37,26 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 
 
-def pieces_of(model_file: str) -> dict[str, float]:
-    """Piece -> score of the normal pieces of a sentencepiece model."""
+#: Least score of a vocabulary piece.  The file marks 15 runs of word marks by -1e9, which is no
+#: unigram score: in single precision such a number leaves no room for the others.
+LEAST_SCORE = -40_000.0
+
+
+def pieces_of(model_file: str, least: float = LEAST_SCORE) -> dict[str, float]:
+    """Piece -> score (``least`` at least) of the normal pieces of a sentencepiece model."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     return {
-        model.id_to_piece(i): model.get_score(i)
+        model.id_to_piece(i): max(model.get_score(i), least)
         for i in range(model.vocab_size())
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)
                 or model.is_unused(i))
     }
 
 
+#: Whole numbers up to this size are exact in single precision.
+EXACT = 1 << 24
+
+
 class Segmenter:
     """Best score and token count of words and texts."""
 
@@ -50,32 +65,43 @@ class Segmenter:
         for piece, score in pieces.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        self.unknown = min(pieces.values()) - UNKNOWN_PENALTY
+        self._single = array("f", [0.0])
+        self.unknown = self.rounded(min(pieces.values()) - UNKNOWN_PENALTY)
         self.single = {p for p in pieces if len(p) == 1}
         self.by_word = not any(MARK in p.lstrip(MARK) for p in pieces)
+        self.whole = all(score == int(score) and score <= 0 for score in pieces.values())
         self.remembered = remembered
-        self.counts: dict[str, int] = {}
-        self.scores: dict[str, float] = {}
-
-    def solve(self, text: str) -> tuple[int, float]:
-        """Tokens and score of one marked text."""
-        best: list[float | None] = [0.0] + [None] * len(text)
+        self.exact: dict[str, tuple[int, float]] = {}
+        self.states: dict[tuple, tuple] = {}
+
+    def rounded(self, value: float) -> float:
+        """To single precision."""
+        self._single[0] = value
+        return self._single[0]
+
+    def solve(self, text: str, before: float = 0.0) -> tuple[int, float, float, float]:
+        """Tokens of one marked text and its score, added to the score ``before`` it; the
+        least and the greatest score on the way."""
+        best: list[float] = [before] + [0.0] * len(text)
         count = [0] * (len(text) + 1)
         ends: list[list[tuple[int, float]]] = [[] for _ in text]
         for end, match in self.automaton.iter(text):
             ends[end].append(match)
+        rounded = self.rounded
         for end, char in enumerate(text):
             found, tokens = None, 0
             for length, score in sorted(ends[end], reverse=True):  # smallest start first
                 start = end + 1 - length
-                if found is None or best[start] + score > found:
-                    found, tokens = best[start] + score, count[start] + 1
+                candidate = best[start] + score
+                if found is None or candidate > found:
+                    found, tokens = rounded(candidate), count[start] + 1
             if char not in self.single:
-                if found is None or best[end] + self.unknown > found:
-                    found = best[end] + self.unknown
+                candidate = rounded(best[end] + self.unknown)
+                if found is None or candidate > found:
+                    found = candidate
                     tokens = count[end] + len(char.encode())
             best[end + 1], count[end + 1] = found, tokens
-        return count[-1], best[-1]
+        return count[-1], best[-1], min(best), max(best)
 
     def words(self, text: str) -> list[str]:
         marked = MARK + text.replace(" ", MARK)
@@ -89,13 +115,33 @@ class Segmenter:
         if not text:
             return 0, 0.0
         words = self.words(text)
-        if len(self.counts) > self.remembered:
-            self.counts.clear()
-            self.scores.clear()
-        for word in set(words).difference(self.counts):
-            self.counts[word], self.scores[word] = self.solve(word)
-        return (sum(map(self.counts.__getitem__, words)),
-                sum(map(self.scores.__getitem__, words)))
+        if len(self.exact) + len(self.states) > self.remembered:
+            self.exact.clear()
+            self.states.clear()
+        if self.whole:
+            for word in set(words).difference(self.exact):
+                self.exact[word] = self.solve(word)[:2]
+            total = sum(self.exact[word][1] for word in words)
+            if total > -EXACT:
+                return sum(self.exact[word][0] for word in words), total
+        tokens, score = 0, 0.0
+        for word in words:
+            if self.whole and score + self.exact[word][1] > -EXACT:
+                more, added = self.exact[word]
+                tokens, score = tokens + more, score + added
+                continue
+            mantissa, power = math.frexp(score)
+            state = word, power, int(mantissa * EXACT) & 1
+            known = self.states.get(state)
+            # the power of two must not change within the word
+            if known and math.frexp(score + known[2])[1] == power == math.frexp(score + known[3])[1]:
+                tokens, score = tokens + known[0], score + known[1]
+                continue
+            more, after, least, most = self.solve(word, score)
+            if score and math.frexp(least)[1] == power == math.frexp(most)[1]:
+                self.states[state] = more, after - score, least - score, most - score
+            tokens, score = tokens + more, after
+        return tokens, score
 
 
 def token_counts(
