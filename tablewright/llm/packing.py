@@ -16,6 +16,7 @@ Every piece then finds its bin from its rank within its length.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -44,6 +45,10 @@ class Encoder:
 
     def __init__(self, tokenizer_file: str, ranks_file: str | None, pattern: str | None):
         self.file, self.exact, self.fast = tokenizer_file, None, None
+        with open(tokenizer_file, encoding="utf-8") as file:
+            special = [token["content"] for token in json.load(file).get("added_tokens", [])]
+        #: only the exact library knows these
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
         if ranks_file is not None:
             # Without two white spaces in a row, the pattern's look-ahead never matters.
             plain = pattern.replace(r"\s+(?!\S)|", "")
@@ -53,11 +58,11 @@ class Encoder:
     def slow(self, text: str) -> list[int]:
         if self.exact is None:
             self.exact = Tokenizer.from_file(self.file)
-            self.exact.encode_special_tokens = True
         return self.exact.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> list[int]:
-        if self.fast and _PLAIN.fullmatch(text) and not _RUN.search(text):
+        if self.fast and _PLAIN.fullmatch(text) and not (
+                _RUN.search(text) or self.special.search(text)):
             return self.fast.encode_ordinary(text)
         return self.slow(text)
 

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 import tiktoken
@@ -18,6 +19,7 @@ from tokenizers import Tokenizer
 from tablewright.llm import byte_bpe, language, licenses, packing, quality, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+MARK = token_counts.MARK
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -63,6 +65,8 @@ def unigram_model():
     proto = model.ModelProto()
     proto.ParseFromString(open(PIECES, "rb").read())
     proto.trainer_spec.model_type = model.TrainerSpec.UNIGRAM
+    for piece in proto.pieces:
+        piece.score = max(piece.score, token_counts.LEAST_SCORE)
     return sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
 
 
@@ -74,27 +78,53 @@ def test_token_counts_equal_the_library():
     for _ in range(200):
         text = " ".join(rng.choice(words) + rng.choice(["", "s", "ly", ","])
                         for _ in range(rng.randint(1, 12)))
-        if "漢" in text or "ï" in text:  # unknown pieces: the library's sums are rounded
-            continue
         assert segmenter.count(text)[0] == len(library.encode(text))
 
 
+def test_token_counts_of_all_documents_equal_the_library():
+    library = unigram_model()
+    segmenter = token_counts.Segmenter(token_counts.pieces_of(PIECES), remembered=30_000)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    texts += ["thely " * 20_000, "漢ï " * 3000, "a\nb\t" * 500]
+    expected = [len(ids) for ids in library.encode([t or "" for t in texts])]
+    assert [segmenter.count(t or "")[0] for t in texts] == expected
+
+
+def test_rounded_sums_of_words_equal_those_of_the_whole_text():
+    rng = random.Random(6)
+    pieces = {MARK + a: -rng.choice([3e6, 7e6 + 1, 1e5 + 3, 0.5]) for a in ["", "a", "ab", "b", "aba"]}
+    pieces |= {a: -rng.choice([1.0, 2.0, 1e6, 5e6 + 3]) for a in ["a", "b", "ab", "ba", "bab"]}
+    for pieces in (pieces, {p: float(round(v)) for p, v in pieces.items()}):
+        segmenter = token_counts.Segmenter(pieces, remembered=300)
+        for _ in range(300):
+            text = " ".join("".join(rng.choices("abc", k=rng.randint(0, 5)))
+                            for _ in range(rng.randint(1, 80))) or "c"
+            assert segmenter.count(text) == segmenter.solve(MARK + text.replace(" ", MARK))[:2]
+
+
 def test_segmentation_equals_all_segmentations():
     pieces = {"▁": -2.0, "a": -3.0, "b": -3.0, "ab": -4.0, "▁a": -3.0, "ba": -4.0, "▁ab": -6.0}
     segmenter = token_counts.Segmenter(pieces)
 
     def best(text):
+        """Score, then the longest last piece, then the longest one before it, and so on."""
         if not text:
-            return 0.0
-        options = [pieces[p] + best(text[len(p):]) for p in pieces if text.startswith(p)]
-        if text[0] not in pieces:
-            options.append(segmenter.unknown + best(text[1:]))
+            return (0.0,)
+        options = []
+        for p in pieces:
+            if text.endswith(p):
+                score, *lengths = best(text[:-len(p)])
+                options.append((score + pieces[p], len(p), *lengths))
+        if text[-1] not in pieces:
+            score, *lengths = best(text[:-1])
+            options.append((score + segmenter.unknown, 1, *lengths))
         return max(options)
 
     rng = random.Random(1)
     for _ in range(300):
         text = "▁" + "".join(rng.choice("abc▁") for _ in range(rng.randint(0, 9)))
-        assert segmenter.solve(text)[1] == best(text)
+        score, *lengths = best(text)
+        assert segmenter.solve(text)[:2] == (len(lengths), score)
 
 
 def test_token_counts_of_odd_rows(spark):
@@ -143,6 +173,15 @@ def test_packing_places_every_piece(spark, ranks):
     assert empty.count() == 0
 
 
+def test_packing_reads_special_tokens_as_the_library_does():
+    library = Tokenizer.from_file(VOCABULARY)
+    encode = packing.Encoder(VOCABULARY, public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                             public_tokenizers.PATTERN)
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "é漢<|endoftext|>", "a <|endoftex|> b", "plain text"):
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert 50256 in encode("a <|endoftext|> b")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), min_size=1, max_size=60))
 def test_local_search_never_needs_more_bins(sizes):
