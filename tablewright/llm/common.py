@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +26,12 @@ def narrowed(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def text_blocks(
-    batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES
+    batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES, text: str = "text"
 ) -> Iterator[pa.RecordBatch]:
     """The rows in blocks of at most ``limit`` bytes of the column ``text`` (one row at least)."""
     for batch in batches:
         start, held = 0, 0
-        sizes = batch.column("text").cast(pa.large_binary())
+        sizes = batch.column(text).cast(pa.large_binary())
         sizes = pa.compute.binary_length(sizes).fill_null(0).to_pylist()
         for i, size in enumerate(sizes):
             if held and held + size > limit:
@@ -42,9 +42,25 @@ def text_blocks(
             yield batch.slice(start)
 
 
-def texts_of(batch: pa.RecordBatch) -> list[str]:
+def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     """The texts, null as empty."""
-    return batch.column("text").fill_null("").to_pylist()
+    return batch.column(text).fill_null("").to_pylist()
+
+
+def rows_kept(
+    df: DataFrame, judge: Callable[[], Callable[[list[str]], list[bool]]], text: str = "text",
+    limit: int = 1 << 20,
+) -> DataFrame:
+    """The rows of ``df``, all columns, whose text is kept.  ``judge`` is called once in every
+    task and gives a function from texts to decisions; it sees at most ``limit`` bytes of text
+    at a time (one text at least), and what it keeps leaves the task before it sees more."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decide = judge()
+        for block in text_blocks(batches, limit, text):
+            yield block.filter(pa.array(decide(texts_of(block, text)), pa.bool_()))
+
+    return df.mapInArrow(choose, df.schema)
 
 
 def partitions(spark: SparkSession) -> int:

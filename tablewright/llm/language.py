@@ -16,7 +16,7 @@ exact, so a very long text costs no more per word than a short one.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import field, narrowed, text_blocks, texts_of
+from tablewright.llm.common import field, narrowed, rows_kept, text_blocks, texts_of
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _CODE = re.compile(r"[\d_@/]")  # in numbers, keys and addresses
@@ -384,7 +384,6 @@ def fit_letters(
     others: dict[tuple[int, str], list[float]] = {}
     single = []
     for words, label, held in zip(found, labels, aside, strict=True):
-        words = words[:500]
         if not held or len(words) < 20:
             continue
         sizes = np.fromiter(map(len, words), float, len(words))
@@ -527,22 +526,19 @@ def kept(df: DataFrame, model: Model | None, least: float, text: str = "text") -
     only rows without a letter go."""
     shared = df.sparkSession.sparkContext.broadcast(_plain(model))
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(Model(*shared.value)) if shared.value else None
-        for batch in batches:
-            named = pa.RecordBatch.from_arrays([batch.column(text)], names=["text"])
-            good, done = [], 0
-            for block in text_blocks([named], 4 << 20):
-                texts = texts_of(block)
-                done += len(texts)
-                if labeller is None:
-                    good += [bool(WORD.search(t)) for t in texts]
-                    continue
-                lengths, codes = labeller.words(texts)
-                probable, at = labeller.marginals(lengths, codes), 0
-                for n, known in zip(lengths, labeller.known(texts, lengths, codes), strict=True):
-                    good.append(known and probable[at:at + n].mean(axis=0).max() >= least)
-                    at += n
-            yield batch.filter(pa.array(good, pa.bool_()))
-
-    return df.mapInArrow(choose, df.schema)
+    def judge() -> Callable[[list[str]], list[bool]]:
+        if not shared.value:
+            return lambda texts: [bool(WORD.search(t)) for t in texts]
+        labeller = Labeller(Model(*shared.value), remembered=100_000)
+
+        def decide(texts: list[str]) -> list[bool]:
+            lengths, codes = labeller.words(texts)
+            probable, at, good = labeller.marginals(lengths, codes), 0, []
+            for n, known in zip(lengths, labeller.known(texts, lengths, codes), strict=True):
+                good.append(bool(known and probable[at:at + n].mean(axis=0).max() >= least))
+                at += n
+            return good
+
+        return decide
+
+    return rows_kept(df, judge, text)

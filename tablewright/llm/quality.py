@@ -15,7 +15,7 @@ import operator
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import field, narrowed, text_blocks, texts_of
+from tablewright.llm.common import field, narrowed, rows_kept, text_blocks, texts_of
 
 GOOD, BAD, SILENT = "+", "-", "."
 
@@ -94,11 +94,15 @@ def facts_of(text: str, words: list[str], counts: Counter[str]) -> Facts:
         upper=upper,
         decorated=sum(n for w, n in odd if not w[-2:-1].isalnum() and len(w) > 1),
         frequent=max(counts.values(), default=0), repeated=_repeated(words),
-        distinct=len(counts),
+        distinct=sum(len(set(words[i:i + WINDOW])) for i in range(0, len(words), WINDOW)),
         wordless=sum(n for w, n in odd if not any(map(str.isalnum, w))),
         insults=insults_of(counts))
 
 
+#: Words among which variety is judged, so that it means the same in texts of every length.
+WINDOW = 1000
+
+
 def _repeated(words: list[str]) -> int:
     return sum(map(operator.eq, words, words[1:]))
 
@@ -124,8 +128,7 @@ LABELLERS = {
     "wordless": lambda f: _long(f, _band(f.wordless, f.words, 0.05, 0.25)),
     "frequent": lambda f: _long(f, _band(f.frequent, f.words, 0.2, 0.4)),
     "repeated": lambda f: _long(f, _band(f.repeated, f.words, 0.05, 0.25)),
-    "variety": lambda f: _long(f, _band(f.words - f.distinct, f.words, 0.7, 0.9)
-                               if f.words < 2000 else SILENT),
+    "variety": lambda f: _long(f, _band(f.words - f.distinct, f.words, 0.7, 0.9)),
     "word_length": lambda f: _long(f, GOOD if 2.5 * f.words <= f.letters <= 15 * f.words else BAD),
     "toxic": lambda f: BAD if abusive(f.insults, f.words) else SILENT,
 }
@@ -328,19 +331,22 @@ def kept(df: DataFrame, scorer: Scorer, least: float = 0.5, text: str = "text")
     """The rows of ``df`` whose text scores at least ``least``; all columns stay."""
     shared = df.sparkSession.sparkContext.broadcast(scorer.plain())
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge() -> Callable[[list[str]], list[bool]]:
         model = Scorer.of(*shared.value)
         known: dict[str, float] = {}
-        for batch in batches:
+
+        def decide(texts: list[str]) -> list[bool]:
             good = []
-            for value in batch.column(text).to_pylist():
-                words = (value or "").split()
-                if len(known) > 300_000:
+            for value in texts:
+                words = value.split()
+                if len(known) > 100_000:
                     known.clear()
-                good.append(model.score(words, Counter(words), known) >= least)
-            yield batch.filter(pa.array(good, pa.bool_()))
+                good.append(bool(model.score(words, Counter(words), known) >= least))
+            return good
+
+        return decide
 
-    return df.mapInArrow(choose, df.schema)
+    return rows_kept(df, judge, text)
 
 
 def classify(

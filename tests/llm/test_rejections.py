@@ -94,3 +94,29 @@ def test_labelled_toxic_documents_go(spark):
     before, after = counts(docs), counts(left)
     assert after.get(1, 0) <= 0.05 * before[1]
     assert after[0] >= 0.99 * before[0]
+
+
+@pytest.mark.parametrize("words", [1999, 2000, 2001, 12_345])
+def test_a_cycled_passage_gets_the_same_vote_at_every_length(words):
+    passage = [f"word{i}" for i in range(60)]
+    text = " ".join(passage[i % 60] for i in range(words))
+    variety = list(quality.LABELLERS).index("variety")
+    assert quality.votes_of(text)[variety] == quality.BAD
+    plain = " ".join(f"word{i * i % 7919}" for i in range(words))
+    assert quality.votes_of(plain)[variety] == quality.GOOD
+
+
+def test_filters_keep_clashing_columns_long_texts_and_repeated_rows(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, "bb", 40), "bb", "s", float(i)) for i in range(60)]
+    rows += [(100, prose(rng, "bb", 60_000), "bb", "long", 1.0)] * 2
+    rows += [(101, "# % & " * 400, None, "junk", 2.0), (102, None, None, None, None)]
+    df = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, key string, score double").repartition(3)
+    good = quality.kept(df, quality.train(df))
+    known = language.kept(df, language.train(df), corpus_pipeline.LEAST_LANGUAGE_SCORE)
+    assert good.columns == known.columns == df.columns
+    for left in (good, known):
+        ids = sorted(r["doc_id"] for r in left.collect())
+        assert [i for i in ids if i < 101] == [*range(60), 100, 100] and 101 not in ids
+    assert 102 not in {r["doc_id"] for r in known.collect()}
