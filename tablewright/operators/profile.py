@@ -8,6 +8,10 @@ Two passes over the data serve every column at once:
 
 Long values enter the second pass as a prefix plus a SHA-256, so the shuffle never
 carries whole texts.
+
+With a permitted error of the distinct counts, values are not shuffled at all but for the few
+that can be among the most frequent ones: distinct values are then estimated by mergeable
+registers, and a mergeable summary of hash buckets tells which values need to be counted.
 """
 
 from __future__ import annotations
@@ -59,10 +63,8 @@ def value_frequency(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("count"), "value")
 
 
-def key_counts(
-    df: DataFrame, columns: list[str], with_normal_form: tuple[str, ...] = ()
-) -> DataFrame:
-    """``(column, key, normal, count)`` over the given columns in one shuffle."""
+def _cells(df: DataFrame, columns: list[str], with_normal_form: tuple[str, ...]) -> DataFrame:
+    """``(column, key, normal)`` of every non-null cell."""
     cells = []
     for name in columns:
         text = _cell(df, name)
@@ -82,11 +84,69 @@ def key_counts(
         df.select(F.explode(F.array(*cells)).alias("cell"))
         .select("cell.*")
         .filter("key IS NOT NULL")
-        .groupBy("column", "key")
-        .agg(F.first("normal").alias("normal"), F.count("*").alias("count"))
     )
 
 
+def _counted(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("column", "key").agg(
+        F.first("normal").alias("normal"), F.count("*").alias("count"))
+
+
+def key_counts(
+    df: DataFrame, columns: list[str], with_normal_form: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(column, key, normal, count)`` over the given columns in one shuffle."""
+    return _counted(_cells(df, columns, with_normal_form))
+
+
+def frequent_counts(
+    df: DataFrame, columns: list[str], wanted: int, with_normal_form: tuple[str, ...] = (),
+    buckets: int = 4096, first: int = 64,
+) -> DataFrame:
+    """Like :func:`key_counts`, with exact counts of the ``wanted`` most frequent values of each
+    column (ties included) and of some others.
+
+    The cells of every hash bucket are counted first, a summary of bounded size in each task.
+    Values of the ``first`` heaviest buckets are counted exactly; a value elsewhere cannot be
+    more frequent than its bucket is full, so only buckets that hold at least as many cells as
+    the least wanted value are looked at after that.  On a column without frequent values that
+    is every bucket, otherwise hardly any value that occurs once is shuffled.
+    """
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
+    cells = _cells(df, columns, with_normal_form).withColumn("bucket", bucket)
+    held = written(cells.groupBy("column", "bucket").agg(F.count("*").alias("held")), "buckets")
+    heaviest = Window.partitionBy("column").orderBy(F.desc("held"), "bucket")
+    ranked = held.withColumn("place", F.row_number().over(heaviest))  # buckets of a column
+
+    def counts_in(chosen: DataFrame) -> DataFrame:
+        # at most ``buckets`` rows for each column
+        some = cells.join(F.broadcast(chosen.select("column", "bucket")), ["column", "bucket"])
+        return _counted(some.select("column", "key", "normal"))
+
+    counts = written(counts_in(ranked.filter(F.col("place") <= first)), "heavy-counts")
+    by_count = Window.partitionBy("column").orderBy(F.desc("count"), "key")
+    least = counts.withColumn("nth", F.row_number().over(by_count)).filter(
+        F.col("nth") == wanted).select("column", F.col("count").alias("least"))
+    more = written(
+        ranked.filter(F.col("place") > first).join(F.broadcast(least), "column", "left")
+        .filter(F.col("held") >= F.coalesce("least", F.lit(0))).select("column", "bucket"),
+        "open-buckets")
+    return counts if more.isEmpty() else counts.unionByName(counts_in(more))
+
+
+def distinct_estimates(df: DataFrame, columns: list[str], error: float) -> DataFrame:
+    """``(column, distinct, filled)``: distinct values estimated with a relative standard
+    deviation of ``error`` by mergeable registers, in one aggregate of a row for each task."""
+    numbers, rows = [], []
+    for i, name in enumerate(columns):
+        key = value_key(_cell(df, name))
+        numbers += [F.approx_count_distinct(key, error).alias(f"distinct_{i}"),
+                    F.count(key).alias(f"filled_{i}")]
+        rows.append(F.struct(F.lit(name).alias("column"), F.col(f"distinct_{i}").alias("distinct"),
+                             F.col(f"filled_{i}").alias("filled")))
+    return df.agg(*numbers).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def distinct_and_top(counts: DataFrame) -> DataFrame:
     """Distinct values, non-null cells and the most frequent key per column."""
     return counts.groupBy("column").agg(
@@ -264,14 +324,53 @@ def _with_errors(cells: DataFrame, tops: DataFrame, conflicts: DataFrame, rules:
     return joined.withColumn("errors", ranked)
 
 
-def _prepared(df: DataFrame, columns: list[str], rules: Rules) -> tuple[DataFrame, DataFrame]:
+def _prepared(
+    df: DataFrame, columns: list[str], rules: Rules, distinct_error: float | None = None
+) -> tuple[DataFrame, DataFrame]:
     conflict_columns = (rules.place_column, rules.name_column)
-    counts = written(key_counts(df, columns, conflict_columns), "value-counts")
+    if distinct_error is None:
+        counts = written(key_counts(df, columns, conflict_columns), "value-counts")
+        tops = distinct_and_top(counts)
+    else:
+        counts, tops = _estimated(df, columns, conflict_columns, rules, distinct_error)
     cells = _cell_counts(df, rules)
-    tops = distinct_and_top(counts)
     return _with_errors(cells, tops, conflicting_cells(counts, rules), rules), tops
 
 
+def _estimated(
+    df: DataFrame, columns: list[str], conflict_columns: tuple[str, ...], rules: Rules,
+    error: float,
+) -> tuple[DataFrame, DataFrame]:
+    """Counts of the values that matter, and tops with estimated distinct values.  Columns whose
+    values must be unique are counted exactly, an estimate would be taken for an error."""
+    exact = [c for c in columns if c.lower() in rules.unique_columns]
+    rest = [c for c in columns if c not in exact]
+    wanted = max(1, rules.conflict_top)
+    parts = [key_counts(df, exact)] if exact else []
+    if rest:
+        frequent = written(frequent_counts(df, rest, wanted, conflict_columns), "frequent")
+        parts.append(frequent)
+        compared = [c for c in rest if c.lower() in conflict_columns]
+        if compared:
+            # values with the normal form of a frequent one: a few forms for each column
+            by_count = Window.partitionBy("column").orderBy(F.desc("count"), "key")
+            forms = frequent.withColumn("nth", F.row_number().over(by_count)).filter(
+                F.col("normal").isNotNull() & (F.col("nth") <= wanted)
+            ).select("column", "normal").distinct()
+            alike = _cells(df, compared, conflict_columns).join(
+                F.broadcast(forms), ["column", "normal"], "left_semi")
+            parts.append(_counted(alike).join(frequent, ["column", "key"], "left_anti"))
+    counts = written(reduce(DataFrame.unionByName, parts), "value-counts")
+    tops = distinct_and_top(counts)
+    if rest:
+        estimates = distinct_estimates(df, rest, error)
+        tops = tops.join(F.broadcast(estimates.withColumnsRenamed(
+            {"distinct": "estimate", "filled": "cells"})), "column", "left").select(
+            "column", F.coalesce("estimate", "distinct").alias("distinct"),
+            F.coalesce("cells", "filled").alias("filled"), "top")
+    return counts, tops
+
+
 def _value_columns(df: DataFrame, rules: Rules) -> list[str]:
     """Columns whose detectors need distinct values."""
     wanted = {*rules.unique_columns, rules.place_column, rules.name_column}
@@ -379,9 +478,14 @@ def _whole_top_values(df: DataFrame, tops: DataFrame) -> DataFrame:
     return short.unionByName(fetched)
 
 
-def profile(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """One row per column with the twelve profile metrics."""
-    checked, tops = _prepared(df, df.columns, rules)
+def profile(
+    df: DataFrame, rules: Rules = DEFAULT_RULES, distinct_error: float | None = None
+) -> DataFrame:
+    """One row per column with the twelve profile metrics.
+
+    With ``distinct_error`` the numbers of distinct values (but for columns whose values must be
+    unique) are estimates with that relative standard deviation; all else stays exact."""
+    checked, tops = _prepared(df, df.columns, rules, distinct_error)
     tops = written(tops, "top-values")
 
     def percent(count: Column) -> Column:

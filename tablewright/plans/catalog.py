@@ -552,6 +552,15 @@ def profile_ads(spark, sf_dir):
     return profile.profile(ads(spark, sf_dir))
 
 
+# Distinct values are estimated; how many they are within is tested, all else is exact.
+@query(
+    "profile_ads_estimated",
+    f"""SELECT * EXCLUDE ("Eindeutige Werte") FROM ({_profile_sql(_ADS_SQL, list(_AD_COLUMNS))})""",
+)
+def profile_ads_estimated(spark, sf_dir):
+    return profile.profile(ads(spark, sf_dir), distinct_error=0.02).drop("Eindeutige Werte")
+
+
 _PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 
 

@@ -1,4 +1,8 @@
+import collections
 import datetime
+import random
+
+import pytest
 
 from tablewright import rules as R
 from tablewright.operators import profile
@@ -98,3 +102,42 @@ def test_text_dates_in_several_forms(spark):
     assert errors(one(spark, "date", outside)) == {("date", "Widersprüchliche Werte"): 100.0}
     inside = ["01-02-2020", "31.12.2019", "12/31/2021", "3 June 2020", "nie"]
     assert errors(one(spark, "date", inside)) == {("date", None): None}
+
+
+def test_frequent_counts_hold_the_most_frequent_values(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice("abc") if rnd.random() < 0.3 else f"x{rnd.randint(0, 3000)}", f"u{i}",
+             rnd.choice([None, "k", "K.", "l"])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "often string, once string, company string").repartition(3)
+    for wanted, first in ((1, 2), (10, 64), (10, 5000)):
+        got = profile.frequent_counts(df, df.columns, wanted, ("company",), 512, first).collect()
+        assert len({(r["column"], r["key"]) for r in got}) == len(got)
+        for i, name in enumerate(df.columns):
+            exact = collections.Counter(r[i] for r in rows if r[i] is not None)
+            mine = {r["key"]: r["count"] for r in got if r["column"] == name}
+            assert all(exact[k] == n for k, n in mine.items())
+            top = sorted(exact, key=lambda k: (-exact[k], k))[:wanted]
+            assert set(top) <= set(mine)
+    assert {(r["key"], r["normal"]) for r in got if r["column"] == "company"} == {
+        ("k", "k"), ("K.", "k"), ("l", "l")}
+
+
+def test_frequent_counts_shuffle_few_values_that_occur_once(spark):
+    df = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN concat('t', id % 50) ELSE concat('s', id) END AS c")
+    found = profile.frequent_counts(df, ["c"], 10)
+    assert found.filter("count = 1").count() < 0.05 * 20_000
+
+
+@pytest.mark.parametrize("error", [0.01, 0.05])
+def test_estimated_profile(spark, error):
+    rnd = random.Random(7)
+    rows = [(i, rnd.randint(0, 20_000), rnd.choice(["Ulm", "ULM", "Kiel", None, "??"]))
+            for i in range(15_000)]
+    df = spark.createDataFrame(rows, "jobid long, salary long, location string")
+    exact = {r["Spalte"]: r.asDict() for r in profile.profile(df).collect()}
+    found = {r["Spalte"]: r.asDict() for r in profile.profile(df, distinct_error=error).collect()}
+    for name, row in found.items():
+        distinct, true = row.pop("Eindeutige Werte"), exact[name].pop("Eindeutige Werte")
+        assert abs(distinct - true) <= 3 * error * true
+        assert row == exact[name]
+    assert profile.profile(df.limit(0), distinct_error=error).count() == 3
