@@ -171,6 +171,22 @@ def rejected_values(spark, sf_dir):
     return delimited.rejected_values(raw)
 
 
+@query(
+    "rejected_on_load",
+    """SELECT DISTINCT 'date' AS "column", concat(year(o_orderdate), '/1/1') AS value
+       FROM orders WHERE o_orderkey % 3 = 0""",
+)
+def rejected_on_load(spark, sf_dir):
+    """Rejected values of a table that is cast and written in the same pass."""
+    orders = spread_table(
+        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+        "o_orderpriority",
+    )
+    header = "_JobID_ _§_*STATUS*_§_Priority_§__Date__§_geo_lat_§_extra".replace(" ", "")
+    raw = delimited.split_lines(orders.select(F.expr(_LINE).alias("line")), header)
+    return delimited.load_table(raw, f"{work_folder(spark)}/loaded-{uuid.uuid4().hex}").rejected
+
+
 @query(
     "delimited_export",
     """SELECT page_id AS _page_id_, url AS _url_, html AS _html_ FROM pages""",
@@ -1009,6 +1025,23 @@ def duplicate_ads(spark, sf_dir):
     return dedupe.find_duplicates(_families(spark, sf_dir), "jobid").listing
 
 
+@query(
+    "duplicate_ads_after_a_load",
+    f"""{_found_sql()}{_LISTED}
+    SELECT ads.*, keep, orig_index, probability, jobid % 8 < 4 AND pair_id IS NOT NULL AS early
+    FROM ads JOIN roles ON jobid = orig_index""",
+)
+def duplicate_ads_after_a_load(spark, sf_dir):
+    """Half of the ads (whole families) were searched before the others came; all pair numbers
+    of that search stay, which leaves the rows of a full search."""
+    every = _families(spark, sf_dir)
+    before = dedupe.find_duplicates(every.filter("jobid % 8 < 4"), "jobid").listing
+    before = written(before.select("orig_index", "pair_id", "keep"), "earlier-listing")
+    last = before.agg(F.max("pair_id")).first()[0]
+    listing = dedupe.find_duplicates(every, "jobid").listing_after(before)
+    return listing.withColumn("early", F.col("pair_id") <= F.lit(last)).drop("pair_id")
+
+
 @query(
     "remaining_ads",
     f"{_found_sql()} SELECT * FROM ads WHERE jobid NOT IN (SELECT node FROM dropped)",

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,23 +102,58 @@ def rejected_values(
 
     One scan, one shuffle of the offending values only.
     """
+    bad = _rejected_cells(raw, date_format, rules)
+    return raw.select(F.explode(bad).alias("bad")).select("bad.*").distinct()
+
+
+def _rejected_cells(raw: DataFrame, date_format: str, rules: Rules) -> Column:
+    """``(column, value)`` of every cell of a row that the integer and date casts turn to null."""
     casts = _casts(raw, date_format, rules)
     checked = [c for c in (*rules.integer_columns, *rules.date_columns) if c in casts]
-    schema = "array<struct<column:string,value:string>>"
-    if not checked:
-        return raw.sparkSession.createDataFrame([], "column string, value string")
-    bad = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    casts[c].isNull() & _named(c).isNotNull(),
-                    F.struct(F.lit(c).alias("column"), _named(c).alias("value")),
-                )
-                for c in checked
-            ]
-        ).cast(schema)
-    )
-    return raw.select(F.explode(bad).alias("bad")).select("bad.*").distinct()
+    cells = [
+        F.when(
+            casts[c].isNull() & _named(c).isNotNull(),
+            F.struct(F.lit(c).alias("column"), _named(c).alias("value")),
+        )
+        for c in checked
+    ]
+    return F.array_compact(F.array(*cells).cast("array<struct<column:string,value:string>>"))
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """A loaded table, the distinct rejected values, and the rows of both kinds."""
+
+    table: DataFrame
+    rejected: DataFrame
+    rows: int
+    faulty_rows: int
+
+
+def load_table(
+    raw: DataFrame, target: str, date_format: str = DATE_FORMAT, rules: Rules = DEFAULT_RULES
+) -> Loaded:
+    """Casts and writes a table and lists what it rejects in one pass over ``raw``.
+
+    Rows with a rejected cell go to a folder of their own below ``target``, along with these
+    cells, so the list of rejected values reads nothing else; rows are counted on the way.
+    """
+    cells = "rejected"
+    while cells in raw.columns or f"{cells}_row" in raw.columns:
+        cells += "_"
+    faulty = f"{cells}_row"
+    bad = _rejected_cells(raw, date_format, rules)
+    checked = typed(raw.withColumn(cells, bad), date_format, rules).withColumn(
+        faulty, F.size(_named(cells)) > 0)
+    seen = Observation()
+    checked.observe(
+        seen, F.count("*").alias("rows"), F.count_if(_named(faulty)).alias("faulty")
+    ).write.partitionBy(faulty).parquet(target)
+    spark = raw.sparkSession
+    both = spark.read.schema(checked.schema).parquet(target)
+    found = both.filter(_named(faulty)).select(F.explode(_named(cells)).alias("bad"))
+    return Loaded(both.drop(cells, faulty), found.select("bad.*").distinct(),
+                  seen.get["rows"], seen.get["faulty"])
 
 
 # ------------------------------------------------------------------------- scan

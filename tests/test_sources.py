@@ -163,3 +163,23 @@ def test_progress_over_more_chunks_than_the_session_remembers(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert got.rows_read == list(range(4, 49, 4)) and got.table.count() == 48
+
+
+def test_a_load_writes_rows_and_rejects_in_one_pass(spark, tmp_path):
+    lines = [(str(i) if i % 5 else f"x{i % 3}", "01-02-2020" if i % 4 else "soon", "a") for i in range(40)]
+    path = write(tmp_path / "a.csv", ("_JobID_", "date", "rejected"), *lines)
+    raw = delimited.read_raw(spark, path)
+    (tmp_path / "in").mkdir()
+    found = delimited.load_table(raw, str(tmp_path / "out"))
+    (tmp_path / "a.csv").write_text("")  # nothing is read again
+    assert found.table.columns == raw.columns
+    assert sorted(map(repr, found.table.collect())) == sorted(map(repr, (
+        (None if i % 5 == 0 else i, datetime.date(2020, 2, 1) if i % 4 else None, "a")
+        for i in range(40))))
+    assert {tuple(r) for r in found.rejected.collect()} == {
+        ("date", "soon"), *{("jobid", f"x{i % 3}") for i in range(0, 40, 5)}}
+    assert (found.rows, found.faulty_rows) == (40, sum(not (i % 5 and i % 4) for i in range(40)))
+    plan = found.rejected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rejected__row" in plan and "date:" not in plan
+    empty = delimited.load_table(raw.limit(0), str(tmp_path / "none"))
+    assert empty.table.count() == empty.rejected.count() == empty.rows == 0
