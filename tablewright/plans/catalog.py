@@ -17,7 +17,7 @@ from tablewright.functions import jobs, names, similarity, text
 from tablewright.operators import candidates, consolidate, dedupe, lookup, profile
 from tablewright.plans.jobs import add_job_facts, backfill_postal_codes, clean_table
 from tablewright.rules import DEFAULT_RULES
-from tablewright.shared import fan_out, work_folder
+from tablewright.shared import fan_out, work_folder, written
 from tablewright.sources import codes, delimited, sinks
 from tablewright.streaming.chunks import ingest_chunks
 
