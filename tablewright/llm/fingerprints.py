@@ -7,8 +7,13 @@ the term with the smallest a is drawn, together with its t.  Two texts draw the
 a probability equal to their generalised Jaccard similarity, sum of minima by sum of maxima.
 
 A draw is one 64-bit number, ln a above a hash of (term, t), so a fingerprint is a row of
-minima and needs nothing but one hash aggregate.  Terms are hashed to 64 bits before they are
-counted.  Texts cross the network once, and all counting and drawing happens where they are.
+minima and needs nothing but one hash aggregate, with a group for each text.  Terms are hashed to
+63 bits and counted inside their row: sorted, their runs are their weights.  The texts compared of
+a row (its own and the edited one) share what they have in common, so a term of equal weight in
+both is drawn once.  Texts cross the network once, and all counting and drawing happens where
+they are.
+
+With 32 samples a likeness around one half has a standard error of 0.09.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import narrowed, partitions
-from tablewright.shared import written
+from tablewright.shared import spread, written
 
 SAMPLES = 32
 _BITS31, _BITS21, _BITS32 = (1 << 31) - 1, (1 << 21) - 1, (1 << 32) - 1
@@ -34,8 +39,9 @@ def draw(term: Column, weight: Column, total: Column, sample: int) -> Column:
 
     The smallest a of a text has an exponential distribution with its total weight as rate,
     and a is at least (1 - u) v / w, where c = -ln u and r = -ln v.  Only terms for which this
-    bound is below 16 / total need logarithms; that no term of a text is below has a
-    probability of e^-16, and then the smallest bound is drawn."""
+    bound is below 24 / total need logarithms (``total`` being the weight of the text, or of a
+    lighter one); that no term of a text is below has a probability of e^-24, and then the
+    smallest bound is drawn."""
     first = F.xxhash64(term.bitwiseXOR(F.lit(random.Random(sample).getrandbits(63))))
     second = F.xxhash64(first)
     u = (_uniform(first.bitwiseAND(F.lit(_BITS31)), _BITS31)
@@ -50,25 +56,79 @@ def draw(term: Column, weight: Column, total: Column, sample: int) -> Column:
     name = term.bitwiseXOR(t * F.lit(2654435761)).bitwiseAND(F.lit(_BITS32))
     exact = F.shiftleft(((order + 128) * F.lit(float(1 << 22))).cast("long"), 32).bitwiseOR(name)
     bound = F.lit(1 << 30) + F.least(least / weight * F.lit(float(1 << 20)), F.lit(1e9)).cast("long")
-    return F.when(least * total <= 16 * weight, exact).otherwise(
+    return F.when(least * total <= 24 * weight, exact).otherwise(
         F.shiftleft(bound, 32).bitwiseOR(term.bitwiseAND(F.lit(_BITS32))))
 
 
-def samples_of(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``samples array<long>``: the names drawn from the words of every text,
-    null for a text without words.  ``keys`` must be unique.  If the rows are already dealt by
-    some of the keys, nothing is shuffled."""
-    words = F.filter(F.split(F.col(text), r"[\s\p{Z}]+"), lambda w: w != "")
-    hashed = texts.select(*keys, F.transform(words, lambda w: F.xxhash64(w)).alias("terms"))
-    terms = hashed.select(*keys, F.size("terms").cast("double").alias("total"),
-                          F.explode_outer("terms").alias("term"))
-    counted = terms.groupBy(*keys, "total", "term").agg(F.count("*").cast("double").alias("weight"))
+def _terms_of(text: Column, which: int) -> Column:
+    words = F.filter(F.split(text, r"[\s\p{Z}]+"), lambda w: w != "")
+    return F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(which)))
+
+
+def weighted_terms(rows: DataFrame, keys: list[str], first: str, second: str) -> DataFrame:
+    """``keys, total, term, weight, sides``: the terms of two texts of a row with their weights.
+    ``sides`` is 1 for the first text, 2 for the second and 3 for a weight that both have, and
+    ``total`` the smaller weight of the two texts.  A row without words has one null term."""
+    one, two = _terms_of(F.col(first), 0), _terms_of(F.col(second), 1)
+    rows = rows.select(*keys, one.alias("one"), two.alias("two"))
+    # the last bit tells the text, so a term's runs in both lie side by side
+    rows = rows.select(*keys, F.sort_array(F.concat("one", "two")).alias("all"),
+                       F.size("one").alias("n_one"), F.size("two").alias("n_two"))
+    places = F.when(F.size("all") > 0, F.sequence(F.lit(0), F.size("all") - 1))
+    begins = F.filter(
+        F.coalesce(places, F.array().cast("array<int>")),
+        lambda i: (i == 0) | (F.get("all", i) != F.get("all", i - 1)))
+    total = (F.when(F.col("n_one") == 0, F.col("n_two")).when(F.col("n_two") == 0, F.col("n_one"))
+             .otherwise(F.least("n_one", "n_two")))
+    rows = rows.select(*keys, total.cast("double").alias("total"), "all", begins.alias("begins"))
+    runs = F.transform("begins", lambda at, i: F.struct(
+        F.get("all", at).alias("term"),
+        (F.coalesce(F.get("begins", i + 1), F.size("all")) - at).alias("weight")))
+    rows = rows.select(*keys, "total", runs.alias("runs"))
+
+    def told(run: Column, i: Column) -> Column:
+        after, before = F.get("runs", i + 1), F.get("runs", i - 1)
+        is_second = run["term"].bitwiseAND(F.lit(1)) == 1
+        twin = F.when(is_second, before).otherwise(after)
+        both = ((twin["term"].bitwiseAND(F.lit(-2)) == run["term"].bitwiseAND(F.lit(-2)))
+                & (twin["weight"] == run["weight"]))
+        both = F.coalesce(both, F.lit(False))
+        sides = F.when(both, F.lit(3)).when(is_second, F.lit(2)).otherwise(F.lit(1))
+        return F.when(~(both & is_second), F.struct(
+            run["term"].bitwiseAND(F.lit(-2)).alias("term"),
+            run["weight"].cast("double").alias("weight"), sides.alias("sides")))
+
+    listed = F.filter(F.transform("runs", told), lambda r: r.isNotNull())
+    rows = rows.select(*keys, "total", F.explode_outer(listed).alias("t"))
+    return rows.select(*keys, "total", "t.term", "t.weight", "t.sides")
+
+
+def samples_of_both(
+    rows: DataFrame, keys: list[str], first: str, second: str, samples: int = SAMPLES
+) -> DataFrame:
+    """``keys``, ``samples`` and ``other_samples array<long>``: the names drawn from the words of
+    two texts of every row, null for a text without words.  ``keys`` must be unique.  If the rows
+    are already dealt by some of the keys, nothing is shuffled."""
+    terms = weighted_terms(rows, keys, first, second)
     term, weight, total = F.col("term"), F.col("weight"), F.col("total")
-    drawn = counted.groupBy(*keys).agg(*[
-        F.min(F.when(term.isNotNull(), draw(term, weight, total, k))).alias(f"s{k}")
+    drawn = terms.select(*keys, "sides", *[
+        F.when(term.isNotNull(), draw(term, weight, total, k)).alias(f"d{k}")
         for k in range(samples)])
-    names = F.array(*[F.col(f"s{k}").bitwiseAND(F.lit(_BITS32)) for k in range(samples)])
-    return drawn.select(*keys, F.when(F.col("s0").isNotNull(), names).alias("samples"))
+    drawn = drawn.groupBy(*keys).agg(*[
+        F.min(F.when(F.col("sides") != other, F.col(f"d{k}"))).alias(f"s{side}_{k}")
+        for side, other in ((1, 2), (2, 1)) for k in range(samples)])
+
+    def names(side: int) -> Column:
+        every = F.array(*[F.col(f"s{side}_{k}").bitwiseAND(F.lit(_BITS32)) for k in range(samples)])
+        return F.when(F.col(f"s{side}_0").isNotNull(), every)
+
+    return drawn.select(*keys, names(1).alias("samples"), names(2).alias("other_samples"))
+
+
+def samples_of(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
+    """``keys`` and ``samples``: like :func:`samples_of_both` for one text of every row."""
+    nothing = texts.select(*keys, F.col(text).alias("text"), F.lit("").alias("none"))
+    return samples_of_both(nothing, keys, "text", "none", samples).drop("other_samples")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -115,7 +175,8 @@ def in_order(df: DataFrame, key: str, text: str) -> DataFrame:
     following = following.join(heads, "next_part")
     order = Window.partitionBy("part").orderBy(F.col("key").desc_nulls_last(), F.desc("h"))
     third = F.floor(F.length("text") / 3).cast("int")
-    placed = rows.select(
+    # an explicit number of partitions: drawing is heavy for its bytes
+    placed = spread(rows, "part").select(
         "part", "key", "text", F.row_number().over(order).alias("place"),
         F.lead("text").over(order).alias("next_text"))
     return placed.join(following, "part").select(
@@ -145,16 +206,10 @@ def edited_fingerprints(
         "part", "place", "key", "next_part", "next_place",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"))
-    either = rows.select("part", "place", F.explode(F.array(
-        F.struct(F.lit(0).alias("which"), F.col("text").alias("text")),
-        F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
-    either = either.select("part", "place", "t.which", "t.text")
-    drawn = samples_of(either, ["part", "place", "which"], "text", samples)
+    drawn = samples_of_both(rows, ["part", "place"], "text", "edited", samples)
     found = written(
-        drawn.groupBy("part", "place").agg(
-            F.max(F.when(F.col("which") == 0, F.col("samples"))).alias("samples"),
-            F.max(F.when(F.col("which") == 1, F.col("samples"))).alias("edited_samples"))
-        .join(about, ["part", "place"]), "fingerprints")
+        drawn.withColumnRenamed("other_samples", "edited_samples").join(about, ["part", "place"]),
+        "fingerprints")
     after = found.select(
         F.col("part").alias("next_part"), F.col("place").alias("next_place"),
         F.col("samples").alias("next_samples"))

@@ -1,11 +1,14 @@
 """Operators that compare documents, against plain versions."""
 
 import hashlib
+import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -261,6 +264,52 @@ def test_collision_rate_is_the_generalised_jaccard_similarity(spark):
     assert abs(found - expected / 120) < 0.03
 
 
+def signed(number):
+    return number - (1 << 64) if number >> 63 else number
+
+
+def plain_samples(text, samples):
+    """Every term drawn for every sample with the same random numbers, none left out."""
+    counts = Counter(signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) & -2
+                     for w in re.split(r"[\s\u00a0\u2028\u3000]+", text) if w)
+    if not counts:
+        return None
+    found = []
+    for k in range(samples):
+        drawn = []
+        for term, weight in counts.items():
+            first = xxhash.xxh64((term ^ random.Random(k).getrandbits(63)).to_bytes(
+                8, "little", signed=True), seed=42).intdigest()
+            second = xxhash.xxh64(first.to_bytes(8, "little"), seed=42).intdigest()
+            u = ((first & (1 << 31) - 1) + 0.5) / 2 ** 31 * (((first >> 33) + 0.5) / 2 ** 31)
+            v, b = (((second & (1 << 21) - 1) + 0.5) / 2 ** 21
+                    * (((second >> 21 & (1 << 21) - 1) + 0.5) / 2 ** 21),
+                    ((second >> 42 & (1 << 21) - 1) + 0.5) / 2 ** 21)
+            r = -math.log(v)
+            t = math.floor(math.log(weight) / r + b)
+            name = (term ^ t * 2654435761) & (1 << 32) - 1
+            order = math.log(-math.log(u)) - r * (t - b) - r
+            drawn.append((math.floor((order + 128) * (1 << 22)), name))
+        found.append(min(drawn)[1])
+    return found
+
+
+def test_fingerprints_equal_a_plain_sampler(spark):
+    rng = random.Random(12)
+    words = [rng.choice("abcdeé漢") * rng.randint(1, 3) + str(i) for i in range(60)]
+    texts = [" ".join(rng.choices(words, k=rng.choice([0, 1, 5, 80, 300]))) for _ in range(30)]
+    texts += [" ".join(f"w{i % 30_000}" for i in range(40_000)), "same " * 9000, None, "\n \t"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)],
+                               "doc_id long, text string, total string").repartition(3)
+    found = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(df, samples=8).collect()}
+    for i, text in enumerate(texts):
+        text, after = text or "", texts[i - 1] or ""
+        m = len(text) // 3
+        assert found[i]["samples"] == plain_samples(text, 8)
+        assert found[i]["edited_samples"] == plain_samples(text[:len(text) - m] + after[:m], 8)
+        assert found[i]["next_samples"] == plain_samples(after, 8)
+
+
 def test_fingerprints_run_without_python(spark):
     df = spark.createDataFrame([(1, "mit license")], "doc_id long, text string")
     plan = fingerprints.edited_fingerprints(df)._jdf.queryExecution().executedPlan().toString()
