@@ -11,8 +11,9 @@ only classes are compared.
    component need not be compared with each other.
 3. The rest - pairs of different components - follows without listing a group's pairs.  The
    hub of a class is the smallest leader that resembles it.  Classes of one hub are compared
-   in blocks of bounded size, and only links leave a task; pairs of different hubs in a
-   bucket are compared directly.
+   in blocks of bounded size, and only links leave a task.  So are the classes of a crowd of
+   hubs, all those that share buckets, also by way of others; in a very large crowd only the
+   pairs that share a bucket are compared.
 4. Components by the smallest label, with pointer jumping.
 
 All links between buckets' members are found exactly; a pair at the threshold shares no bucket
@@ -303,15 +304,30 @@ def links_of(df: DataFrame, held: DataFrame, rule: Similar, key: str, text: str)
                 F.coalesce("h", "class").alias("hub")), "about")
 
     # one hub, different components: blocks of the hub's classes meet in tasks of their own
-    inner = _links_in_hubs(about, sets, rule)
+    inner = _links_in_groups(
+        about.select(F.col("hub").alias("grp"), "class", "component", F.col("class").alias("hub")),
+        sets, rule, "inner")
 
-    # different hubs in one bucket: pairs
+    # different hubs in one bucket
     spread = members.select("band", "class").join(about, "class")
     several = spread.groupBy("band").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"),
         F.min("hub").alias("h0"), F.max("hub").alias("h1")
-    ).filter("c0 != c1 AND h0 != h1").select("band")
-    mixed = spread.join(several, "band")
+    ).filter("c0 != c1 AND h0 != h1").select("band", "h0")
+    mixed = written(spread.join(several, "band"), "mixed")
+    # hubs that share buckets, also by way of others: their classes meet in blocks as well
+    crowds = components(mixed.filter("hub != h0").select(
+        F.col("hub").alias("a"), F.col("h0").alias("b")).distinct())
+    crowds = written(
+        mixed.select("class", "component", "hub").distinct()
+        .join(crowds.withColumnRenamed("node", "hub"), "hub", "left")
+        .select("class", "component", "hub", F.coalesce("label", "hub").alias("grp")), "crowds")
+    sizes = crowds.groupBy("grp").agg(F.count("*").alias("n"))
+    large = written(sizes.filter(F.col("n") > CROWD_BLOCKS * rule.block).select("grp"), "large")
+    between = _links_in_groups(crowds.join(large, "grp", "left_anti"), sets, rule, "between")
+
+    # buckets of very large crowds: pairs that share one
+    mixed = mixed.join(crowds.join(large, "grp").select("class"), "class", "left_semi")
 
     def side(s: str) -> DataFrame:
         return mixed.select("band", *[
@@ -323,28 +339,36 @@ def links_of(df: DataFrame, held: DataFrame, rule: Similar, key: str, text: str)
         F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct()
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _compared(rest.join(known, ["a", "b"], "left_anti"), sets, rule, "rest")
-    return (stars.filter(settled).select("a", "b").union(inner)
+    return (stars.filter(settled).select("a", "b").union(inner).union(between)
             .union(rest.filter(settled).select("a", "b")))
 
 
-def _links_in_hubs(about: DataFrame, sets: DataFrame, rule: Similar) -> DataFrame:
-    """``(a, b)``: links between classes of one hub that are in different components.
+#: Blocks of classes up to which all classes of a crowd of hubs are compared with each other;
+#: in larger crowds only classes that share a bucket are.
+CROWD_BLOCKS = 64
 
-    The classes of a hub are dealt to blocks of about ``rule.block`` classes, and every two
+
+def _links_in_groups(
+    groups: DataFrame, sets: DataFrame, rule: Similar, label: str
+) -> DataFrame:
+    """``(a, b)``: links between classes of ``groups(grp, class, component, hub)`` that are in
+    one group, but in different components and of different hubs.
+
+    The classes of a group are dealt to blocks of about ``rule.block`` classes, and every two
     blocks meet in one task: equal registers first, then the joint likelihood, then the sets.
     Only links leave the task, so no group is expanded into its pairs."""
-    torn = about.groupBy("hub").agg(
+    torn = groups.groupBy("grp").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"),
         F.ceil(F.count("*") / F.lit(rule.block)).cast("int").alias("blocks")
-    ).filter("c0 != c1").select("hub", "blocks")
+    ).filter("c0 != c1").select("grp", "blocks")
+    held = ["class", "component", "hub", "size", "registers", "elements"]
     dealt = written(
-        about.join(torn, "hub").join(sets, "class").select(
-            "hub", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"),
-            "class", "component", "size", "registers", "elements"), "dealt")
-    held = ["class", "component", "size", "registers", "elements"]
-    left = dealt.select("hub", F.col("block").alias("i"), F.explode(
+        groups.join(torn, "grp").join(sets, "class").select(
+            "grp", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"),
+            *held), "dealt")
+    left = dealt.select("grp", F.col("block").alias("i"), F.explode(
         F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), *held)
-    right = dealt.select("hub", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"),
+    right = dealt.select("grp", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"),
                          F.col("block").alias("j"), *held)
     # new names on one side: both come from the same table
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
@@ -357,16 +381,18 @@ def _links_in_hubs(about: DataFrame, sets: DataFrame, rule: Similar) -> DataFram
                 registers = b"".join(t.column("registers").to_pylist())
                 sides.append((
                     t.column("class").to_pylist(), t.column("component").to_pylist(),
+                    t.column("hub").to_pylist(),
                     np.asarray(t.column("size")).astype(float),
                     np.frombuffer(registers, np.uint16).reshape(t.num_rows, -1),
                     [np.frombuffer(e, np.uint64) for e in t.column("elements").to_pylist()]))
-            (names, parts, sizes, regs, elements), (names2, parts2, sizes2, regs2, elements2) = sides
-            kinds = {c: i for i, c in enumerate({*parts, *parts2})}
-            own2 = np.array([kinds[c] for c in parts2])
+            ((names, parts, hubs, sizes, regs, elements),
+             (names2, parts2, hubs2, sizes2, regs2, elements2)) = sides
+            kinds = {c: i for i, c in enumerate({*parts, *parts2, *hubs, *hubs2})}
+            own2, hub2 = (np.array([kinds[c] for c in side]) for side in (parts2, hubs2))
             for i, name in enumerate(names):
                 ratio = np.minimum(sizes[i], sizes2) / np.maximum(sizes[i], sizes2)
                 at = np.flatnonzero(
-                    (own2 != kinds[parts[i]]) & (100 * ratio >= rule.percent - 1e-9)
+                    (own2 != kinds[parts[i]]) & (hub2 != kinds[hubs[i]]) & (100 * ratio >= rule.percent - 1e-9)
                     & ((regs2 == regs[i]).mean(axis=1) >= rule.least_estimate))
                 if not len(at):
                     continue
@@ -383,8 +409,8 @@ def _links_in_hubs(about: DataFrame, sets: DataFrame, rule: Similar) -> DataFram
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return written(
-        left.groupBy("hub", "i", "j").cogroup(right.groupBy("hub", "i", "j")).applyInArrow(
-            compare, "a binary, b binary"), "inner")
+        left.groupBy("grp", "i", "j").cogroup(right.groupBy("grp", "i", "j")).applyInArrow(
+            compare, "a binary, b binary"), label)
 
 
 def _labelled(

@@ -151,8 +151,9 @@ def near_corpus(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("words", [2, 5])
-def test_near_duplicates_equal_all_pairs(spark, words):
+@pytest.mark.parametrize("words, blocks", [(2, 64), (5, 64), (2, 0)])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, words, blocks):
+    monkeypatch.setattr(setsketch, "CROWD_BLOCKS", blocks)
     rows = near_corpus(words)
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, class string")
     found = setsketch.near_duplicates(df, setsketch.Similar(words=words, block=20))
