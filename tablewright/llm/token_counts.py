@@ -15,8 +15,9 @@ As long as no piece holds the word mark behind another character, a best path ne
 the beginning of a word, so every distinct word is solved once and remembered, for each way in
 which its sums can be rounded: that depends on the power of two below the score before it and on
 the last bit of that score, and only on these while the power stays the same.  Words of exact
-sums (whole scores below 2**24) are remembered once.  The memory is emptied when full, which
-changes no result.  No shuffle takes place.
+sums (whole scores below 2**24) are remembered once, and so are words whose best path leads by
+more than rounding can change.  The memory is emptied when full, which changes no result.  No
+shuffle takes place.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ class Segmenter:
         self.by_word = not any(MARK in p.lstrip(MARK) for p in pieces)
         self.whole = all(score == int(score) and score <= 0 for score in pieces.values())
         self.remembered = remembered
-        self.exact: dict[str, tuple[int, float]] = {}
+        self.exact: dict[str, tuple] = {}
         self.states: dict[tuple, tuple] = {}
 
     def rounded(self, value: float) -> float:
@@ -111,6 +112,35 @@ class Segmenter:
             return re.findall(f"{MARK}+[^{MARK}]*", marked)
         return [MARK + w for w in marked.split(MARK)[1:]]
 
+    def path(self, word: str) -> tuple[int, float, list[float], float]:
+        """Tokens and exact score of a word, the scores along its best path, and how far the
+        second best path is behind."""
+        best, second = [0.0] + [-math.inf] * len(word), [-math.inf] * (len(word) + 1)
+        last: list[tuple[int, float, int]] = [(0, 0.0, 0)] * (len(word) + 1)
+        ends: list[list[tuple[int, float]]] = [[] for _ in word]
+        for end, match in self.automaton.iter(word):
+            ends[end].append(match)
+        for end, char in enumerate(word):
+            found = [(length, score, 1) for length, score in sorted(ends[end], reverse=True)]
+            if char not in self.single:
+                found.append((1, self.unknown, len(char.encode())))
+            high = low = -math.inf
+            for edge in found:
+                start = end + 1 - edge[0]
+                value = best[start] + edge[1]
+                if value > high:
+                    low = max(low, high, second[start] + edge[1])
+                    high, last[end + 1] = value, edge
+                else:
+                    low = max(low, value)
+            best[end + 1], second[end + 1] = high, low
+        scores, tokens, at = [], 0, len(word)
+        while at:
+            length, score, size = last[at]
+            scores.append(score)
+            tokens, at = tokens + size, at - length
+        return tokens, best[-1], scores[::-1], best[-1] - second[-1]
+
     def count(self, text: str) -> tuple[int, float]:
         if not text:
             return 0, 0.0
@@ -118,28 +148,39 @@ class Segmenter:
         if len(self.exact) + len(self.states) > self.remembered:
             self.exact.clear()
             self.states.clear()
+        exact = self.exact
+        for word in set(words).difference(exact):
+            exact[word] = self.path(word)
         if self.whole:
-            for word in set(words).difference(self.exact):
-                self.exact[word] = self.solve(word)[:2]
-            total = sum(self.exact[word][1] for word in words)
+            total = sum([exact[word][1] for word in words])
             if total > -EXACT:
-                return sum(self.exact[word][0] for word in words), total
-        tokens, score = 0, 0.0
+                return sum([exact[word][0] for word in words]), total
+        tokens, score, states = 0, 0.0, self.states
+        single = self._single
         for word in words:
-            if self.whole and score + self.exact[word][1] > -EXACT:
-                more, added = self.exact[word]
+            more, added, scores, margin = exact[word]
+            if self.whole and score + added > -EXACT:
                 tokens, score = tokens + more, score + added
                 continue
+            # every sum is off by half a unit of its last bit at most, a power of two below
+            # ``reach`` times 2 ** -23; a path that leads by more than all of them stays best
+            reach = abs(score) + abs(added) + 1
+            if margin > 2 * (len(word) + 1) * reach * 2.0 ** -23:
+                for piece in scores:
+                    single[0] = score + piece
+                    score = single[0]
+                tokens += more
+                continue
             mantissa, power = math.frexp(score)
             state = word, power, int(mantissa * EXACT) & 1
-            known = self.states.get(state)
+            known = states.get(state)
             # the power of two must not change within the word
             if known and math.frexp(score + known[2])[1] == power == math.frexp(score + known[3])[1]:
                 tokens, score = tokens + known[0], score + known[1]
                 continue
             more, after, least, most = self.solve(word, score)
             if score and math.frexp(least)[1] == power == math.frexp(most)[1]:
-                self.states[state] = more, after - score, least - score, most - score
+                states[state] = more, after - score, least - score, most - score
             tokens, score = tokens + more, after
         return tokens, score
 
