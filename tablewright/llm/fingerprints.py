@@ -34,30 +34,49 @@ def _uniform(bits: Column, size: int) -> Column:
     return (bits + F.lit(0.5)) * F.lit(1.0 / (size + 1))
 
 
-def draw(term: Column, weight: Column, total: Column, sample: int) -> Column:
-    """The draw of one term: ``ln a`` in the upper bits, the name of (term, t) in the lower.
+def seeds(samples: int) -> list[int]:
+    """One number for each sample, which its hashes start from."""
+    return [random.Random(k).getrandbits(63) for k in range(samples)]
+
+
+def with_draws(rows: DataFrame) -> DataFrame:
+    """The draws of rows with ``term, weight, seed`` and the total weights ``total_one,
+    total_two`` of the texts that hold the term (null: not in that text).  Added are ``one`` and
+    ``two``, for each text the draw or null: ``ln a`` in the upper bits, the name of (term, t) in
+    the lower.  Rows without a draw go, but for those without a term.
 
     The smallest a of a text has an exponential distribution with its total weight as rate,
-    and a is at least (1 - u) v / w, where c = -ln u and r = -ln v.  Only terms for which this
-    bound is below 24 / total need logarithms (``total`` being the weight of the text, or of a
-    lighter one); that no term of a text is below has a probability of e^-24, and then the
-    smallest bound is drawn."""
-    first = F.xxhash64(term.bitwiseXOR(F.lit(random.Random(sample).getrandbits(63))))
-    second = F.xxhash64(first)
-    u = (_uniform(first.bitwiseAND(F.lit(_BITS31)), _BITS31)
-         * _uniform(F.shiftrightunsigned(first, 33), _BITS31))
-    v = (_uniform(second.bitwiseAND(F.lit(_BITS21)), _BITS21)
+    and a is at least (1 - u) v / w, where c = -ln u and r = -ln v.  So only terms for which this
+    bound is at most 24 / total can be drawn; that no term of a text is one has a probability of
+    e^-24, and then the name drawn is 0.
+
+    Every number is a column of its own, computed once; the whole draw is small enough for the
+    just-in-time compiler (a method of more than 8,000 bytes stays interpreted)."""
+    given = rows.columns
+    term, weight = F.col("term"), F.col("weight")
+    rows = rows.select(*given, F.xxhash64(term.bitwiseXOR(F.col("seed"))).alias("_first"))
+    rows = rows.select("*", F.xxhash64("_first").alias("_second"))
+    first, second = F.col("_first"), F.col("_second")
+    rows = rows.select(
+        *given,
+        (_uniform(first.bitwiseAND(F.lit(_BITS31)), _BITS31)
+         * _uniform(F.shiftrightunsigned(first, 33), _BITS31)).alias("_u"),
+        (_uniform(second.bitwiseAND(F.lit(_BITS21)), _BITS21)
          * _uniform(F.shiftrightunsigned(second, 21).bitwiseAND(F.lit(_BITS21)), _BITS21))
-    b = _uniform(F.shiftrightunsigned(second, 42).bitwiseAND(F.lit(_BITS21)), _BITS21)
-    least = (1 - u) * v  # times weight
-    r = -F.log(v)
-    t = F.floor(F.log(weight) / r + b)
-    order = F.log(-F.log(u)) - r * (t - b) - r
-    name = term.bitwiseXOR(t * F.lit(2654435761)).bitwiseAND(F.lit(_BITS32))
-    exact = F.shiftleft(((order + 128) * F.lit(float(1 << 22))).cast("long"), 32).bitwiseOR(name)
-    bound = F.lit(1 << 30) + F.least(least / weight * F.lit(float(1 << 20)), F.lit(1e9)).cast("long")
-    return F.when(least * total <= 24 * weight, exact).otherwise(
-        F.shiftleft(bound, 32).bitwiseOR(term.bitwiseAND(F.lit(_BITS32))))
+        .alias("_v"),
+        _uniform(F.shiftrightunsigned(second, 42).bitwiseAND(F.lit(_BITS21)), _BITS21).alias("_b"))
+    rows = rows.select("*", ((1 - F.col("_u")) * F.col("_v") / weight).alias("_least"))
+    rows = rows.where(term.isNull() | (
+        F.col("_least") * F.least("total_one", "total_two") <= 24))  # least: nulls are skipped
+    rows = rows.select("*", (-F.log("_v")).alias("_r"))
+    rows = rows.select("*", F.floor(F.log(weight) / F.col("_r") + F.col("_b")).alias("_t"))
+    order = (F.log(-F.log("_u")) - F.col("_r") * (F.col("_t") - F.col("_b")) - F.col("_r"))
+    name = term.bitwiseXOR(F.col("_t") * F.lit(2654435761)).bitwiseAND(F.lit(_BITS32))
+    rows = rows.select("*", F.shiftleft(
+        ((order + 128) * F.lit(float(1 << 22))).cast("long"), 32).bitwiseOR(name).alias("_draw"))
+    return rows.select(*given, *[
+        F.when(F.col("_least") * F.col(f"total_{side}") <= 24, F.col("_draw")).alias(side)
+        for side in ("one", "two")])
 
 
 def _terms_of(text: Column, which: int) -> Column:
@@ -66,9 +85,9 @@ def _terms_of(text: Column, which: int) -> Column:
 
 
 def weighted_terms(rows: DataFrame, keys: list[str], first: str, second: str) -> DataFrame:
-    """``keys, total, term, weight, sides``: the terms of two texts of a row with their weights.
-    ``sides`` is 1 for the first text, 2 for the second and 3 for a weight that both have, and
-    ``total`` the smaller weight of the two texts.  A row without words has one null term."""
+    """``keys, term, weight, total_one, total_two``: the terms of two texts of a row with their
+    weights, and the total weights of those texts that have the term with this weight (null: of
+    the other).  A row without words has one null term."""
     one, two = _terms_of(F.col(first), 0), _terms_of(F.col(second), 1)
     rows = rows.select(*keys, one.alias("one"), two.alias("two"))
     # the last bit tells the text, so a term's runs in both lie side by side
@@ -78,13 +97,11 @@ def weighted_terms(rows: DataFrame, keys: list[str], first: str, second: str) ->
     begins = F.filter(
         F.coalesce(places, F.array().cast("array<int>")),
         lambda i: (i == 0) | (F.get("all", i) != F.get("all", i - 1)))
-    total = (F.when(F.col("n_one") == 0, F.col("n_two")).when(F.col("n_two") == 0, F.col("n_one"))
-             .otherwise(F.least("n_one", "n_two")))
-    rows = rows.select(*keys, total.cast("double").alias("total"), "all", begins.alias("begins"))
+    rows = rows.select(*keys, "n_one", "n_two", "all", begins.alias("begins"))
     runs = F.transform("begins", lambda at, i: F.struct(
         F.get("all", at).alias("term"),
         (F.coalesce(F.get("begins", i + 1), F.size("all")) - at).alias("weight")))
-    rows = rows.select(*keys, "total", runs.alias("runs"))
+    rows = rows.select(*keys, "n_one", "n_two", runs.alias("runs"))
 
     def told(run: Column, i: Column) -> Column:
         after, before = F.get("runs", i + 1), F.get("runs", i - 1)
@@ -99,8 +116,11 @@ def weighted_terms(rows: DataFrame, keys: list[str], first: str, second: str) ->
             run["weight"].cast("double").alias("weight"), sides.alias("sides")))
 
     listed = F.filter(F.transform("runs", told), lambda r: r.isNotNull())
-    rows = rows.select(*keys, "total", F.explode_outer(listed).alias("t"))
-    return rows.select(*keys, "total", "t.term", "t.weight", "t.sides")
+    rows = rows.select(*keys, "n_one", "n_two", F.explode_outer(listed).alias("t"))
+    return rows.select(
+        *keys, "t.term", "t.weight",
+        F.when(F.col("t.sides") != 2, F.col("n_one").cast("double")).alias("total_one"),
+        F.when(F.col("t.sides") != 1, F.col("n_two").cast("double")).alias("total_two"))
 
 
 def samples_of_both(
@@ -110,19 +130,27 @@ def samples_of_both(
     two texts of every row, null for a text without words.  ``keys`` must be unique.  If the rows
     are already dealt by some of the keys, nothing is shuffled."""
     terms = weighted_terms(rows, keys, first, second)
-    term, weight, total = F.col("term"), F.col("weight"), F.col("total")
-    drawn = terms.select(*keys, "sides", *[
-        F.when(term.isNotNull(), draw(term, weight, total, k)).alias(f"d{k}")
-        for k in range(samples)])
-    drawn = drawn.groupBy(*keys).agg(*[
-        F.min(F.when(F.col("sides") != other, F.col(f"d{k}"))).alias(f"s{side}_{k}")
-        for side, other in ((1, 2), (2, 1)) for k in range(samples)])
-
-    def names(side: int) -> Column:
-        every = F.array(*[F.col(f"s{side}_{k}").bitwiseAND(F.lit(_BITS32)) for k in range(samples)])
-        return F.when(F.col(f"s{side}_0").isNotNull(), every)
-
-    return drawn.select(*keys, names(1).alias("samples"), names(2).alias("other_samples"))
+    numbers = F.array(*[
+        F.struct(F.lit(k).alias("at"), F.lit(seed).alias("seed"))
+        for k, seed in enumerate(seeds(samples))])
+    held = [*keys, "term", "weight", "total_one", "total_two"]
+    rows = terms.select(*held, F.explode(numbers).alias("n")).select(*held, "n.at", "n.seed")
+    drawn = with_draws(rows).groupBy(*keys, "at").agg(
+        F.min("one").alias("one"), F.min("two").alias("two"))
+    name = F.lit(_BITS32)
+    parts = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
+        "at", F.col("one").bitwiseAND(name).alias("one"),
+        F.col("two").bitwiseAND(name).alias("two")))).alias("parts"))
+    numbered = F.sequence(F.lit(0), F.lit(samples - 1))
+    parts = parts.select(*keys, F.when(F.size("parts") == samples, F.col("parts")).otherwise(
+        F.transform(numbered, lambda k: F.get(F.filter("parts", lambda p: p["at"] == k), 0)))
+        .alias("parts"))
+
+    def of(side: str) -> Column:
+        every = F.transform("parts", lambda p: F.coalesce(p[side], F.lit(0)))
+        return F.when(F.exists("parts", lambda p: p[side].isNotNull()), every)
+
+    return parts.select(*keys, of("one").alias("samples"), of("two").alias("other_samples"))
 
 
 def samples_of(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
