@@ -15,8 +15,8 @@ from math import floor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.similarity import indel_score, length_allows
-from tablewright.operators.leaders import absorb_blocks
+from tablewright.functions.similarity import indel_percents, indel_score, length_allows
+from tablewright.operators.leaders import absorb_blocks, absorb_crowds
 from tablewright.rules import DEFAULT_RULES
 from tablewright.shared import written
 
@@ -158,10 +158,11 @@ def name_mapping(
     rank = F.struct((-F.col("count")).alias("minus_count"), F.col("node").alias("name"))
     ranked = counts.select("node", rank.alias("rank"))
     plausible = length_allows(F.lower("lo"), F.lower("hi"), score)
-    groups = written(
-        absorb_blocks(name_blocks(ranked, score), similar_names(score), head, plausible),
-        "name-groups",
-    )
+    crowds, rest = absorb_crowds(
+        ranked.withColumn("text", F.lower("node")),
+        lambda left, right: indel_percents(left, right, score))
+    groups = absorb_blocks(name_blocks(rest, score), similar_names(score), head, plausible)
+    groups = written(groups if crowds is None else groups.unionByName(crowds), "name-groups")
     members = groups.select("leader", "node").unionByName(
         groups.select("leader", F.col("leader").alias("node")).distinct()
     )

@@ -11,7 +11,7 @@ nodes that no chain connects cannot matter to each other, and a component of up
 :data:`TASK_EDGES` edges is settled in one go by one task.  Components come from a logarithmic
 number of star contractions, whatever the chains.
 
-Three entry points:
+Entry points:
 
 * :func:`absorb_edges` - the similar pairs are already known (bounded per node);
 * :func:`absorb_blocks` - similar nodes share a block, and blocks may be huge.  Only
@@ -19,6 +19,8 @@ Three entry points:
   of a block is compared with confirmed leaders only, round after round, so no block
   is ever expanded into all of its pairs and nothing is left out.  If all pairs of all
   blocks are known to be few, they are compared at once;
+* :func:`absorb_crowds` - blocks do not help where most nodes are similar to a few leaders:
+  these are found first, and what they leave is handed back;
 * :func:`absorb_groups` - every node is in one group, and a join finds the similar pairs of
   what the first leaders leave.
 """
@@ -26,9 +28,10 @@ Three entry points:
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -43,6 +46,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TASK_EDGES = 250_000
 #: Pairs of all blocks up to which they are compared at once.
 FEW_PAIRS = 1_000_000
+#: Best-ranked nodes of a crowd among which one task finds leaders, leaders found at once, and
+#: rounds of that at most.
+CROWD_HEAD, CROWD_LEADERS, CROWD_ROUNDS = 8192, 256, 16
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -228,6 +234,74 @@ def absorb_groups(
     return _union(taken)
 
 
+def absorb_crowds(
+    nodes: DataFrame, percents: Callable[[list[str], list[str]], np.ndarray]
+) -> tuple[DataFrame | None, DataFrame]:
+    """``nodes(node, rank, text)`` to the absorbed ``(node, leader, score)`` (or None) and the
+    rest ``(node, rank)``, in which nobody leads or is led by a node outside.
+
+    One task finds the first leaders among the best-ranked nodes, and all others are compared
+    with these, in rounds while the first leaders absorb a good part of the best-ranked.  So every
+    absorbed node has its best-ranked leader, and the number of leaders that a node is compared
+    with is bounded.  ``percents`` scores texts, below 0 for those that are not similar.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
+
+    def first_leaders(table: pa.Table) -> pa.Table:
+        ranks = list(map(orderable, table.column("rank").to_pylist()))
+        texts = table.column("text").to_pylist()
+        open_ = sorted(range(len(ranks)), key=ranks.__getitem__)
+        found: list[int] = []
+        while open_ and len(found) < CROWD_LEADERS:
+            found.append(open_.pop(0))
+            if open_:
+                scores = percents([texts[found[-1]]] * len(open_), [texts[i] for i in open_])
+                open_ = [i for i, score in zip(open_, scores.tolist()) if score < 0]
+        leaders = table.select(["node", "text"]).take(pa.array(found, pa.int64()))
+        return leaders.append_column("place", pa.array(range(len(found)), pa.int32())).append_column(
+            "open", pa.array([len(open_)] * len(found), pa.int32()))
+
+    rest, taken = written(nodes.select("node", "rank", "text"), "nodes"), []
+    left = rest.count()
+    for _ in range(CROWD_ROUNDS if left > CROWD_HEAD else 0):
+        heads = rest.orderBy("rank").limit(CROWD_HEAD).withColumn("all", F.lit(0))
+        leaders = written(heads.groupBy("all").applyInArrow(
+            first_leaders, f"node {kinds['node']}, text {kinds['text']}, place int, open int"),
+            "leaders").orderBy("place").collect()  # CROWD_LEADERS rows at most
+        tried = min(left, CROWD_HEAD)
+        if tried - len(leaders) - leaders[0]["open"] < tried / 4:
+            break
+        names, texts = [r["node"] for r in leaders], [r["text"] for r in leaders]
+
+        def absorbed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                mine = batch.column("text").to_pylist()
+                open_ = list(range(len(mine)))
+                found: list[tuple[int, int, int]] = []
+                for place, text in enumerate(texts):
+                    if not open_:
+                        break
+                    scores = percents([text] * len(open_), [mine[i] for i in open_]).tolist()
+                    found += [(i, place, score) for i, score in zip(open_, scores) if score >= 0]
+                    open_ = [i for i, score in zip(open_, scores) if score < 0]
+                node = batch.column("node")
+                yield pa.RecordBatch.from_arrays(
+                    [node.take(pa.array([i for i, _, _ in found], pa.int64())),
+                     pa.array([names[place] for _, place, _ in found], node.type),
+                     pa.array([score for _, _, score in found], pa.int32())],
+                    names=["node", "leader", "score"])
+
+        others = written(rest.filter(~F.col("node").isin(names)), "others")
+        gone = written(spread(others.select("node", "text"), "node").mapInArrow(
+            absorbed, f"node {kinds['node']}, leader {kinds['node']}, score int"), "absorbed")
+        taken.append(gone)
+        rest = written(others.join(gone, "node", "left_anti"), "rest")
+        left = rest.count()
+        if not left:
+            break
+    return (_union(taken) if taken else None), rest.select("node", "rank")
+
+
 def absorb_blocks(
     blocks: DataFrame,
     similar: Callable[[DataFrame], DataFrame],
