@@ -113,33 +113,53 @@ class Segmenter:
         return [MARK + w for w in marked.split(MARK)[1:]]
 
     def path(self, word: str) -> tuple[int, float, list[float], float]:
-        """Tokens and exact score of a word, the scores along its best path, and how far the
-        second best path is behind."""
-        best, second = [0.0] + [-math.inf] * len(word), [-math.inf] * (len(word) + 1)
-        last: list[tuple[int, float, int]] = [(0, 0.0, 0)] * (len(word) + 1)
-        ends: list[list[tuple[int, float]]] = [[] for _ in word]
-        for end, match in self.automaton.iter(word):
-            ends[end].append(match)
-        for end, char in enumerate(word):
-            found = [(length, score, 1) for length, score in sorted(ends[end], reverse=True)]
-            if char not in self.single:
-                found.append((1, self.unknown, len(char.encode())))
-            high = low = -math.inf
-            for edge in found:
-                start = end + 1 - edge[0]
-                value = best[start] + edge[1]
+        """Tokens and exact score of a word, the scores along its best path, and how large sums
+        may get before rounding could put the second best path first."""
+        lost, single, unknown = -math.inf, self.single, self.unknown
+        best, second = [0.0], [lost]
+        last: list[tuple[int, float]] = []
+        matches = self.automaton.iter(word)
+        end, match = next(matches, (-1, None))
+        for here, char in enumerate(word):
+            high = low = lost
+            edge = match
+            while end == here:  # longest piece, so smallest start, first
+                length, score = match
+                start = here + 1 - length
+                value = best[start] + score
+                if value > high:
+                    if high > low:
+                        low = high
+                    other = second[start] + score
+                    if other > low:
+                        low = other
+                    high, edge = value, match
+                elif value > low:
+                    low = value
+                end, match = next(matches, (-1, None))
+            if char not in single:
+                value = best[here] + unknown
                 if value > high:
-                    low = max(low, high, second[start] + edge[1])
-                    high, last[end + 1] = value, edge
-                else:
-                    low = max(low, value)
-            best[end + 1], second[end + 1] = high, low
+                    low = max(low, high, second[here] + unknown)
+                    high, edge = value, (0, unknown)
+                elif value > low:
+                    low = value
+            best.append(high)
+            second.append(low)
+            last.append(edge)
         scores, tokens, at = [], 0, len(word)
         while at:
-            length, score, size = last[at]
+            length, score = last[at - 1]
             scores.append(score)
-            tokens, at = tokens + size, at - length
-        return tokens, best[-1], scores[::-1], best[-1] - second[-1]
+            if length:
+                tokens, at = tokens + 1, at - length
+            else:  # an unknown character
+                at -= 1
+                tokens += len(word[at].encode())
+        # every sum is off by half a unit of its last bit at most, a power of two below the size
+        # of the sums times 2 ** -23; a path that leads by more than all of them stays best
+        margin = (best[-1] - second[-1]) / (2 * (len(word) + 1) * 2.0 ** -23)
+        return tokens, best[-1], scores[::-1], margin
 
     def count(self, text: str) -> tuple[int, float]:
         if not text:
@@ -162,10 +182,7 @@ class Segmenter:
             if self.whole and score + added > -EXACT:
                 tokens, score = tokens + more, score + added
                 continue
-            # every sum is off by half a unit of its last bit at most, a power of two below
-            # ``reach`` times 2 ** -23; a path that leads by more than all of them stays best
-            reach = abs(score) + abs(added) + 1
-            if margin > 2 * (len(word) + 1) * reach * 2.0 ** -23:
+            if margin > abs(score) + abs(added) + 1:
                 for piece in scores:
                     single[0] = score + piece
                     score = single[0]

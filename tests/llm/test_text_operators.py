@@ -90,6 +90,30 @@ def test_token_counts_of_all_documents_equal_the_library():
     assert [segmenter.count(t or "")[0] for t in texts] == expected
 
 
+def test_words_know_how_large_sums_may_get():
+    """The lead of the best path, in sums whose rounding it outlasts, is kept with the word."""
+    rng = random.Random(8)
+    pieces = {a: -float(rng.randint(1, 50)) for a in ["a", "b", "ab", "ba", "bab", "aab", "bb"]}
+    segmenter = token_counts.Segmenter(pieces)
+
+    def paths(word):
+        if not word:
+            return [(0.0, 0)]
+        found = [(s + pieces[word[:n]], t + 1) for n in range(1, len(word) + 1)
+                 if word[:n] in pieces for s, t in paths(word[n:])]
+        if word[0] not in segmenter.single:
+            found += [(s + segmenter.unknown, t + len(word[0].encode())) for s, t in paths(word[1:])]
+        return found
+
+    for _ in range(200):
+        word = "".join(rng.choices("aabbbé", k=rng.randint(2, 8)))
+        best, *others = sorted((s for s, _ in paths(word)), reverse=True)
+        tokens, score, scores, largest = segmenter.path(word)
+        assert score == best == sum(scores) and (best, tokens) in paths(word)
+        lead = best - max(others, default=-np.inf)
+        assert largest == lead / (2 * (len(word) + 1) * 2.0 ** -23)
+
+
 def test_rounded_sums_of_words_equal_those_of_the_whole_text():
     rng = random.Random(6)
     pieces = {MARK + a: -rng.choice([3e6, 7e6 + 1, 1e5 + 3, 0.5]) for a in ["", "a", "ab", "b", "aba"]}
