@@ -753,7 +753,7 @@ def name_mapping_of_customers(spark, sf_dir):
     JOIN member USING (place) JOIN canonical USING (leader)""",
 )
 def clean_organisations(spark, sf_dir):
-    raw = table(spark, sf_dir, "part").select(
+    raw = spread_table(spark, sf_dir, "part", "p_partkey", "p_name").select(
         "p_partkey",
         F.concat(F.lit("<b>"), F.col("p_name"), F.lit(" &amp; eV</b>, 12345 Köln")).alias("company"),
     )
