@@ -88,8 +88,9 @@ def _cells(df: DataFrame, columns: list[str], with_normal_form: tuple[str, ...])
 
 
 def _counted(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("column", "key").agg(
-        F.first("normal").alias("normal"), F.count("*").alias("count"))
+    # The normal form follows from the value.  As one of the keys it is counted by hash; as an
+    # aggregate, being text, it would make every task sort all its cells in memory.
+    return cells.groupBy("column", "key", "normal").agg(F.count("*").alias("count"))
 
 
 def key_counts(
