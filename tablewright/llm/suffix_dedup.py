@@ -15,6 +15,9 @@ A byte goes if a string of ``window`` bytes that covers it also starts somewhere
    prefixes tell which right parts of windows are equal; the left parts are hashed per length.
 4. A gram with very many different contexts (``crowd``) would be too much for one task; there
    every window travels by its own hash and is counted.  Both ways find the same windows.
+
+Every step is written as a table; when it is, its shuffle files go, and so do the tables that
+only it needed.  So the disk holds one step at a time, not their sum.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import narrowed, partitions, text_blocks
-from tablewright.shared import written
+from tablewright.shared import intermediate, work_folder, written
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -359,19 +362,39 @@ def _named(key: str, text: str) -> list[Column]:
             F.xxhash64(F.col(f"`{text}`")).alias("hash")]
 
 
+def _repeated(rows: DataFrame, window: int) -> DataFrame:
+    """The anchors whose gram occurs again, with the count ``n`` of their context and, of their
+    gram, the count ``kinds`` of contexts and ``single`` of those that occur once."""
+    spark = rows.sparkSession
+    folder = work_folder(spark)
+    with intermediate(spark):
+        anchors = written(
+            _anchors(rows.filter(F.octet_length("text") >= window), window), "anchors",
+            release=True)
+        contexts = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"))
+        grams = contexts.groupBy("gram").agg(
+            F.sum("n").alias("total"), F.count("*").alias("kinds"),
+            F.count_if(F.col("n") == 1).alias("single")).filter("total > 1").drop("total")
+        contexts = written(contexts.join(grams, "gram"), "contexts", release=True)
+        return written(
+            anchors.join(contexts, ["gram", "context"]), "repeated", release=True, folder=folder)
+
+
 def _spans(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     """``(row, hash, found)``: strings to remove, of the rows ``(row, hash, text)`` that have
     any; they may overlap."""
-    spark = rows.sparkSession
     if not 128 <= window <= 288:
         raise ValueError("window must lie between 128 and 288")
+    folder = work_folder(rows.sparkSession)
+    with intermediate(rows.sparkSession):
+        return written(
+            _found(rows, _repeated(rows, window), window, crowd), "spans", release=True,
+            folder=folder)
+
+
+def _found(rows: DataFrame, found: DataFrame, window: int, crowd: int) -> DataFrame:
+    """The strings to remove, from the anchors ``found`` of repeated grams."""
     named = ["row", "hash"]
-    anchors = written(_anchors(rows.filter(F.octet_length("text") >= window), window), "anchors")
-    contexts = anchors.groupBy("gram", "context").agg(F.count("*").alias("n"))
-    grams = contexts.groupBy("gram").agg(
-        F.sum("n").alias("total"), F.count("*").alias("kinds"),
-        F.count_if(F.col("n") == 1).alias("single")).filter("total > 1").drop("total")
-    found = written(anchors.join(contexts.join(grams, "gram"), ["gram", "context"]), "repeated")
     whole = found.filter("n > 1").select(
         *named, F.col("low").alias("begin"), (F.col("high") + window).alias("end"))
     mixed = found.filter("kinds > 1 AND single > 0")
@@ -387,10 +410,12 @@ def _spans(rows: DataFrame, window: int, crowd: int) -> DataFrame:
             F.collect_list(F.struct(*place)).alias("places"))  # bounded by the text's length
         return rows.select(*named, "text").join(listed, named)
 
-    runs = _runs(with_text(open_.filter("NOT crowded")), window, 4 * partitions(spark))
+    buckets = 4 * partitions(rows.sparkSession)
+    runs = _runs(with_text(open_.filter("NOT crowded")), window, buckets)
     edges = runs.groupBy("bucket").applyInArrow(
         _merge(window), "row string, hash long, begin int, end int")
-    windows = written(_windows(with_text(open_.filter("crowded")), window), "windows")
+    windows = written(_windows(with_text(open_.filter("crowded")), window), "windows",
+                      release=True)
     twice = windows.groupBy("gram", "name").agg(F.count("*").alias("n")).filter("n > 1")
     crowded = windows.join(twice, ["gram", "name"]).select(
         *named, "begin", (F.col("begin") + window).alias("end"))

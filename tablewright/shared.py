@@ -41,14 +41,16 @@ def intermediate(spark: SparkSession) -> Iterator[str]:
 _RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, label: str, release: bool = False) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back.
+def written(
+    df: DataFrame, label: str, release: bool = False, folder: str | None = None
+) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder (or the given one) and read it back.
 
     A written table survives the loss of executors, and its known size lets Spark
     choose broadcast or shuffle for the joins that follow.  With ``release`` the shuffle
     files of ``df`` go as soon as it is written, where Spark knows how.
     """
-    path = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder or work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     conf = df.sparkSession.conf
     release = release and conf.isModifiable(_RELEASE)
     before = conf.get(_RELEASE, None) if release else None
