@@ -335,6 +335,28 @@ def test_fingerprints_equal_a_plain_sampler(spark):
         assert found[i]["next_samples"] == plain_samples(after, 8)
 
 
+def test_terms_of_both_texts_are_counted_in_compiled_code(spark):
+    texts = ["a b a", "a a b c", "", " a\u00a0a ", "\n \t", "x", None, "b b a a"]
+    df = spark.createDataFrame(
+        [(i, t, texts[i - 1]) for i, t in enumerate(texts)], "i long, a string, b string")
+    terms = fingerprints.weighted_terms(df, ["i"], "a", "b")
+    expected = set()
+    for i, text in enumerate(texts):
+        one, two = (Counter(signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) & -2
+                            for w in re.split(r"[\s\u00a0]+", t or "") if w)
+                    for t in (text, texts[i - 1]))
+        for term in one | two:
+            sides = [(one[term], one.total(), None), (two[term], None, two.total())]
+            if one[term] == two[term]:
+                sides = [(one[term], one.total(), two.total())]
+            expected |= {(i, term, *side) for side in sides if side[0]}
+    found = [tuple(r) for r in terms.collect()]
+    assert {r for r in found if r[1] is not None} == expected
+    assert len([r for r in found if r[1] is not None]) == len(expected)
+    assert {i for i, *_ in found} == set(range(len(texts)))  # no row without a term
+    assert "lambda" not in terms._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fingerprints_run_without_python(spark):
     df = spark.createDataFrame([(1, "mit license")], "doc_id long, text string")
     plan = fingerprints.edited_fingerprints(df)._jdf.queryExecution().executedPlan().toString()
