@@ -16,7 +16,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field as member
 
 import numpy as np
 import pyarrow as pa
@@ -76,22 +76,39 @@ def abusive(insults: int, words: int) -> bool:
     return insults >= (2 if words >= 50 else 1) and 400 * insults >= words
 
 
+_SYMBOL, _LETTER, _UPPER, _DIGIT, _SPACE = range(5)
+
+
+def _kind(char: str) -> int:
+    if char.isalpha():
+        return _UPPER if char.isupper() else _LETTER
+    return _DIGIT if char.isdigit() else _SPACE if char.isspace() else _SYMBOL
+
+
+#: Kinds of the characters below 2^16, which nearly all are.
+_KINDS = np.array([_kind(chr(code)) for code in range(1 << 16)], np.uint8)
+
+
+def kinds_of(text: str) -> list[int]:
+    """How many characters there are of each kind."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    if len(codes) and codes.max() >= len(_KINDS):
+        high = codes >= len(_KINDS)
+        rest, codes = Counter(codes[high].tolist()), codes[~high]
+    else:
+        rest = {}
+    found = np.bincount(_KINDS[codes], minlength=5).tolist()
+    for code, n in rest.items():
+        found[_kind(chr(code))] += n
+    return found
+
+
 def facts_of(text: str, words: list[str], counts: Counter[str]) -> Facts:
-    chars = Counter(text)
-    symbols = digits = letters = upper = 0
-    for char, n in chars.items():
-        if char.isalpha():
-            letters += n
-            if char.isupper():
-                upper += n
-        elif char.isdigit():
-            digits += n
-        elif not char.isspace():
-            symbols += n
+    kinds = kinds_of(text)
     odd = [(w, n) for w, n in counts.items() if not w[-1].isalnum()]
     return Facts(
-        chars=len(text), words=len(words), symbols=symbols, digits=digits, letters=letters,
-        upper=upper,
+        chars=len(text), words=len(words), symbols=kinds[_SYMBOL], digits=kinds[_DIGIT],
+        letters=kinds[_LETTER] + kinds[_UPPER], upper=kinds[_UPPER],
         decorated=sum(n for w, n in odd if not w[-2:-1].isalnum() and len(w) > 1),
         frequent=max(counts.values(), default=0), repeated=_repeated(words),
         distinct=sum(len(set(words[i:i + WINDOW])) for i in range(0, len(words), WINDOW)),
@@ -138,14 +155,13 @@ LABELLERS = {
 _TOXIC, _TOXIC_SCORE = list(LABELLERS).index("toxic"), 0.005
 
 
-def votes(text: str, words: list[str], counts: Counter[str]) -> str:
-    facts = facts_of(text, words, counts)
+def votes(facts: Facts) -> str:
     return "".join([labeller(facts) for labeller in LABELLERS.values()])
 
 
 def votes_of(text: str) -> str:
     words = text.split()
-    return votes(text, words, Counter(words))
+    return votes(facts_of(text, words, Counter(words)))
 
 
 # --- expectation-maximisation -----------------------------------------------------------
@@ -229,14 +245,37 @@ def shape(word: str) -> str:
     return _PUNCT.sub("p", plain)[:6] + (str(min(2, len(tail[0]))) if tail else "")
 
 
-def _buckets(word: str, buckets: int) -> tuple[int, int]:
-    return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) % buckets
-                 for x in ("w:" + word.lower(), "s:" + shape(word)))
+class _Outlines(dict):
+    """For ``str.translate``: one character for all that have the same part in a shape."""
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        self[code] = found = (
+            "X" if _CAPITAL.match(char) else "x" if _LOWER.match(char)
+            else "9" if _NUMBER.match(char) else "." if _PUNCT.match(char) else char)
+        return found
+
+
+_OUTLINES = _Outlines()
+
+
+def _bucket(feature: str, buckets: int) -> int:
+    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % buckets
+
+
+def _buckets(word: str, buckets: int, shapes: dict[str, int]) -> tuple[int, int]:
+    """``shapes`` remembers the buckets of outlines: words are many, outlines few."""
+    outline = word.translate(_OUTLINES)
+    if outline not in shapes:
+        if len(shapes) > 50_000:
+            shapes.clear()
+        shapes[outline] = _bucket("s:" + shape(outline), buckets)
+    return _bucket("w:" + word.lower(), buckets), shapes[outline]
 
 
-def _faults(words: list[str], counts: Counter[str]) -> tuple[int, int]:
+def _faults(repeated: int, frequent: int, words: int) -> tuple[int, int]:
     """Repetitions, and places of the most frequent word of a text of some length."""
-    return 2 * _repeated(words), max(counts.values(), default=0) if len(words) >= 20 else 0
+    return 2 * repeated, frequent if words >= 20 else 0
 
 
 def _damped(words: int) -> int:
@@ -251,6 +290,7 @@ class Scorer:
     weights: np.ndarray
     bias: float
     votes: VoteModel
+    shapes: dict[str, int] = member(default_factory=dict)
 
     def plain(self) -> tuple:
         return self.weights, self.bias, self.votes.prior, self.votes.chances
@@ -263,27 +303,33 @@ class Scorer:
         words = text.split()
         counts = Counter(words)
         size = len(self.weights) - 2
-        sums: Counter[int] = Counter(dict(zip((size, size + 1), _faults(words, counts),
-                                              strict=True)))
+        faults = _faults(_repeated(words), max(counts.values(), default=0), len(words))
+        sums: Counter[int] = Counter(dict(zip((size, size + 1), faults, strict=True)))
         for word, n in counts.items():
-            for at in _buckets(word, size):
+            for at in _buckets(word, size, self.shapes):
                 sums[at] += n
         return np.array(list(sums)), np.array(list(sums.values())) / _damped(len(words))
 
-    def score(self, words: list[str], counts: Counter[str], known: dict[str, float]) -> float:
-        """``known`` remembers the weights of words."""
+    def score(
+        self, words: list[str], counts: Counter[str], known: dict[str, float],
+        facts: Facts | None = None,
+    ) -> float:
+        """``known`` remembers the weights of words; ``facts`` spares what they tell already."""
         if not words:
             return 0.0
         size = len(self.weights) - 2
-        for word in set(counts).difference(known):
-            a, b = _buckets(word, size)
+        for word in [w for w in counts if w not in known]:
+            a, b = _buckets(word, size, self.shapes)
             known[word] = float(self.weights[a] + self.weights[b])
         total = sum(map(operator.mul, counts.values(), map(known.__getitem__, counts)))
-        repeated, frequent = _faults(words, counts)
+        repeated, frequent = _faults(
+            facts.repeated if facts else _repeated(words),
+            facts.frequent if facts else max(counts.values()), len(words))
         total += self.weights[size] * repeated + self.weights[size + 1] * frequent
         x = self.bias + float(total) / _damped(len(words))
         found = float(1 / (1 + math.exp(-min(50.0, max(-50.0, x)))))
-        return min(found, _TOXIC_SCORE) if abusive(insults_of(counts), len(words)) else found
+        insults = facts.insults if facts else insults_of(counts)
+        return min(found, _TOXIC_SCORE) if abusive(insults, len(words)) else found
 
 
 def fit_scorer(
@@ -373,9 +419,10 @@ def classify(
                 counts = Counter(words)
                 if len(words_known) > 300_000:
                     words_known.clear()
+                facts = facts_of(text, words, counts)
                 sizes.append(len(words))
-                said.append(votes(text, words, counts))
-                scores.append(model.score(words, counts, words_known))
+                said.append(votes(facts))
+                scores.append(model.score(words, counts, words_known, facts))
             for pattern in set(said).difference(known):
                 known[pattern] = model.votes.posterior(pattern)
             yield pa.RecordBatch.from_arrays(

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -382,3 +383,33 @@ def test_estimated_accuracies_follow_the_votes():
     assert 0.85 < model.prior < 0.95
     assert model.posterior(good) > 0.95 and model.posterior(bad) < 0.05
     assert model.posterior(quality.SILENT * len(names)) == pytest.approx(model.prior)
+
+
+def test_characters_outlines_and_facts_are_looked_at_once(monkeypatch):
+    rng = random.Random(21)
+    ranges = [(33, 127), (33, 127), (0x80, 0x600), (0x2000, 0x3100), (0x1F000, 0x1FB00)]
+    words = ["".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(rng.randint(1, 9)))
+             for _ in range(3000)]
+    words = " ".join([*words, "\ud800x", "Plain", "Other", "plain,", "other.", "x_1²"]).split()
+    text = " ".join(words)
+    kinds = quality.kinds_of(text)
+    letters = sum(c.isalpha() for c in text)
+    assert kinds[quality._UPPER] == sum(c.isalpha() and c.isupper() for c in text)
+    assert kinds[quality._LETTER] + kinds[quality._UPPER] == letters
+    assert kinds[quality._DIGIT] == sum(c.isdigit() and not c.isalpha() for c in text)
+    assert sum(kinds) == len(text) and kinds[quality._SPACE] == text.count(" ")
+    expected = [tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) % 1000
+                      for x in ("w:" + w.lower(), "s:" + quality.shape(w))) for w in words]
+    calls, plain = [], quality.shape
+    monkeypatch.setattr(quality, "shape", lambda word: calls.append(word) or plain(word))
+    shapes = {}
+    assert [quality._buckets(w, 1000, shapes) for w in words + words] == expected * 2
+    assert len(calls) == len(set(calls)) == len(shapes) < len(set(words))
+
+    scorer = quality.fit_scorer([text, "plain words " * 30], quality.estimate({"." * 10: 2}), 1000)
+    counts = Counter(words)
+    facts = quality.facts_of(text, words, counts)
+    score = scorer.score(words, counts, {})
+    for name in ("insults_of", "_repeated"):
+        monkeypatch.setattr(quality, name, None)  # with facts nothing is counted again
+    assert scorer.score(words, counts, {}, facts) == score
