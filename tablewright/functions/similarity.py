@@ -37,6 +37,8 @@ _BATCH_WORDS, _TABLE_WORDS, _BATCH_CHARACTERS = 1 << 17, 1 << 23, 1 << 23
 _STRIDE = 64
 #: Characters of the shorter text from which a pair is computed by itself.
 _LONG = 256
+#: Characters of a text that is compared beginning by beginning, at most.
+_LONGEST_LEVEL = 128
 
 
 class _Pairs:
@@ -216,11 +218,78 @@ def indel_percents(left: Sequence[str], right: Sequence[str], least: int = 0) ->
     total = np.fromiter(map(len, left), np.int64, len(left)) + np.fromiter(
         map(len, right), np.int64, len(right))
     common = common_subsequences(left, right, least)
-    score = ((1.0 - (total - 2 * common) / np.maximum(total, 1)) * 100).astype(np.int64)
-    score = np.where(total == 0, 100, score)
+    score = _percent(common, total)
     return np.where((common < 0) | (score < least), -1, score)
 
 
+def _percent(common: np.ndarray, total: np.ndarray) -> np.ndarray:
+    score = ((1.0 - (total - 2 * common) / np.maximum(total, 1)) * 100).astype(np.int64)
+    return np.where(total == 0, 100, score)
+
+
+class Beginnings:
+    """Texts to be compared with one other text after the other.
+
+    They are sorted, and what a beginning of several of them has in common with the other text
+    is computed once: a level holds the different beginnings of one length, and its row of the
+    recurrence follows from that of the level before.
+    """
+
+    def __init__(self, texts: Sequence[str], least: int = 0) -> None:
+        self.texts, self.least = texts, least
+        self.lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.long = np.flatnonzero(self.lengths > _LONGEST_LEVEL)
+        order = sorted(np.flatnonzero(self.lengths <= _LONGEST_LEVEL).tolist(), key=texts.__getitem__)
+        lengths = self.lengths[order]
+        codes = np.frombuffer("".join(texts[i] for i in order).encode(
+            "utf-32-le", "surrogatepass"), np.uint32)
+        self.symbols, codes = np.unique(codes, return_inverse=True)
+        row = np.repeat(np.arange(len(order)), lengths)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        levels = int(lengths.max(initial=0))
+        table = np.full((len(order), levels + 1), -1, np.int64)  # the last column is for no text
+        table[row, place] = codes
+        shared = np.full(len(order), -1, np.int64)  # with the text before
+        differ = table[1:] != table[:-1]
+        shared[1:] = np.where(differ.any(1), differ.argmax(1), levels)
+        starts = np.zeros(min(len(order), 1), np.int64)  # the first row of each beginning
+        self.levels = []  # per level: beginnings one shorter, last symbols, texts that end, their beginnings
+        order = np.asarray(order, np.int64)
+        for length in range(levels + 1):
+            rows = starts if not length else np.flatnonzero((shared < length) & (lengths >= length))
+            before = np.searchsorted(starts, rows, "right") - 1
+            ended = np.flatnonzero(lengths == length)
+            self.levels.append((before, table[rows, length - 1], order[ended],
+                                np.searchsorted(rows, ended, "right") - 1))
+            starts = rows
+
+    def percents(self, text: str) -> np.ndarray:
+        """Scores 0-100 of the text with each text; -1 for scores below ``least``."""
+        if len(text) > 64:
+            return indel_percents([text] * len(self.texts), self.texts, self.least)
+        matches = np.zeros(len(self.symbols) + 1, np.uint64)
+        known = {symbol: i for i, symbol in enumerate(self.symbols.tolist())}
+        for i, character in enumerate(text):
+            matches[known.get(ord(character), -1)] |= np.uint64(1 << i)
+        matches[-1] = 0
+        total = self.lengths + len(text)
+        common = np.zeros(len(total), np.int64)
+        state = np.full(1, ~np.uint64(0))
+        for length, (before, symbol, ended, at) in enumerate(self.levels):
+            if length:
+                row = state[before]
+                shared = row & matches[symbol]
+                state = (row + shared) | (row - shared)
+            if len(ended):
+                common[ended] = np.bitwise_count(~state)[at]
+        score = _percent(common, total)
+        score[score < self.least] = -1
+        if len(self.long):
+            score[self.long] = indel_percents(
+                [text] * len(self.long), [self.texts[i] for i in self.long], self.least)
+        return score
+
+
 @functools.cache
 def _scorer(least: int):
     @F.pandas_udf(IntegerType())

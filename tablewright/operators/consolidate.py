@@ -15,7 +15,7 @@ from math import floor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.similarity import indel_percents, indel_score, length_allows
+from tablewright.functions.similarity import Beginnings, indel_score, length_allows
 from tablewright.operators.leaders import absorb_blocks, absorb_crowds
 from tablewright.rules import DEFAULT_RULES
 from tablewright.shared import written
@@ -160,7 +160,7 @@ def name_mapping(
     plausible = length_allows(F.lower("lo"), F.lower("hi"), score)
     crowds, rest = absorb_crowds(
         ranked.withColumn("text", F.lower("node")),
-        lambda left, right: indel_percents(left, right, score))
+        lambda texts: Beginnings(texts, score).percents)
     groups = absorb_blocks(name_blocks(rest, score), similar_names(score), head, plausible)
     groups = written(groups if crowds is None else groups.unionByName(crowds), "name-groups")
     members = groups.select("leader", "node").unionByName(

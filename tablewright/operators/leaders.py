@@ -47,8 +47,8 @@ TASK_EDGES = 250_000
 #: Pairs of all blocks up to which they are compared at once.
 FEW_PAIRS = 1_000_000
 #: Best-ranked nodes of a crowd among which one task finds leaders, leaders found at once, and
-#: rounds of that at most.
-CROWD_HEAD, CROWD_LEADERS, CROWD_ROUNDS = 8192, 256, 16
+#: rounds of that at most; nodes up to which no crowd is looked for.
+CROWD_HEAD, CROWD_LEADERS, CROWD_ROUNDS, CROWD_LEAST = 65_536, 512, 32, 8192
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -182,7 +182,7 @@ def absorb_edges(edges: DataFrame) -> DataFrame:
     sizes = dealt.groupBy("component").agg(F.count("*").alias("size"))
     giants = written(sizes.filter(F.col("size") > TASK_EDGES).select("component"), "giants")
     # many components are settled together: a call for each of them would cost more than its work
-    bundle = F.pmod(F.xxhash64("component"), F.lit(1 + count * 10 // TASK_EDGES))
+    bundle = F.pmod(F.xxhash64("component"), F.lit(1 + count * 10 // max(TASK_EDGES, 1)))
     small = _settle_together(
         dealt.join(giants, "component", "left_anti").withColumn("bundle", bundle), ["bundle"])
     if giants.isEmpty():
@@ -239,7 +239,7 @@ def absorb_groups(
 
 
 def absorb_crowds(
-    nodes: DataFrame, percents: Callable[[list[str], list[str]], np.ndarray]
+    nodes: DataFrame, compared: Callable[[list[str]], Callable[[str], np.ndarray]]
 ) -> tuple[DataFrame | None, DataFrame]:
     """``nodes(node, rank, text)`` to the absorbed ``(node, leader, score)`` (or None) and the
     rest ``(node, rank)``, in which nobody leads or is led by a node outside.
@@ -247,27 +247,52 @@ def absorb_crowds(
     One task finds the first leaders among the best-ranked nodes, and all others are compared
     with these, in rounds while the first leaders absorb a good part of the best-ranked.  So every
     absorbed node has its best-ranked leader, and the number of leaders that a node is compared
-    with is bounded.  ``percents`` scores texts, below 0 for those that are not similar.
+    with is bounded.  ``compared`` prepares texts for the comparison with one text after the other,
+    which scores them, below 0 for those that are not similar.
     """
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
 
+    class Open:
+        """Texts that no leader has absorbed yet."""
+
+        def __init__(self, texts: list[str]) -> None:
+            self.texts, self.rows = texts, np.arange(len(texts))
+            self.prepare()
+
+        def prepare(self) -> None:
+            self.scores = compared([self.texts[i] for i in self.rows])
+            self.open = np.full(len(self.rows), True)
+
+        def absorbed(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+            """Places and scores of those that the text absorbs."""
+            scores = self.scores(text)
+            gone = np.flatnonzero((scores >= 0) & self.open)
+            found = self.rows[gone], scores[gone]
+            self.open[gone] = False
+            if self.open.sum() * 2 < len(self.rows):
+                self.rows = self.rows[self.open]
+                self.prepare()
+            return found
+
+        def left(self) -> np.ndarray:
+            return self.rows[self.open]
+
     def first_leaders(table: pa.Table) -> pa.Table:
         ranks = list(map(orderable, table.column("rank").to_pylist()))
+        table = table.take(pa.array(sorted(range(len(ranks)), key=ranks.__getitem__), pa.int64()))
         texts = table.column("text").to_pylist()
-        open_ = sorted(range(len(ranks)), key=ranks.__getitem__)
+        others = Open(texts)
         found: list[int] = []
-        while open_ and len(found) < CROWD_LEADERS:
-            found.append(open_.pop(0))
-            if open_:
-                scores = percents([texts[found[-1]]] * len(open_), [texts[i] for i in open_])
-                open_ = [i for i, score in zip(open_, scores.tolist()) if score < 0]
+        while len(found) < CROWD_LEADERS and len(left := others.left()):
+            found.append(int(left[0]))
+            others.absorbed(texts[found[-1]])  # itself, too
         leaders = table.select(["node", "text"]).take(pa.array(found, pa.int64()))
         return leaders.append_column("place", pa.array(range(len(found)), pa.int32())).append_column(
-            "open", pa.array([len(open_)] * len(found), pa.int32()))
+            "open", pa.array([len(others.left())] * len(found), pa.int32()))
 
     rest, taken = written(nodes.select("node", "rank", "text"), "nodes"), []
     left = rest.count()
-    for _ in range(CROWD_ROUNDS if left > CROWD_HEAD else 0):
+    for _ in range(CROWD_ROUNDS if left > min(CROWD_HEAD, CROWD_LEAST) else 0):
         heads = rest.orderBy("rank").limit(CROWD_HEAD).withColumn("all", F.lit(0))
         leaders = written(heads.groupBy("all").applyInArrow(
             first_leaders, f"node {kinds['node']}, text {kinds['text']}, place int, open int"),
@@ -279,24 +304,27 @@ def absorb_crowds(
 
         def absorbed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                mine = batch.column("text").to_pylist()
-                open_ = list(range(len(mine)))
-                found: list[tuple[int, int, int]] = []
+                others = Open(batch.column("text").to_pylist())
+                rows, places, scores = [], [], []
                 for place, text in enumerate(texts):
-                    if not open_:
+                    if not len(others.rows):
                         break
-                    scores = percents([text] * len(open_), [mine[i] for i in open_]).tolist()
-                    found += [(i, place, score) for i, score in zip(open_, scores) if score >= 0]
-                    open_ = [i for i, score in zip(open_, scores) if score < 0]
+                    gone, found = others.absorbed(text)
+                    rows.append(gone)
+                    places.append(np.full(len(gone), place))
+                    scores.append(found)
+                if not rows:
+                    continue
+                rows, places, scores = map(np.concatenate, (rows, places, scores))
                 node = batch.column("node")
                 yield pa.RecordBatch.from_arrays(
-                    [node.take(pa.array([i for i, _, _ in found], pa.int64())),
-                     pa.array([names[place] for _, place, _ in found], node.type),
-                     pa.array([score for _, _, score in found], pa.int32())],
+                    [node.take(pa.array(rows)), pa.array(names, node.type).take(pa.array(places)),
+                     pa.array(scores, pa.int32())],
                     names=["node", "leader", "score"])
 
         others = written(rest.filter(~F.col("node").isin(names)), "others")
-        gone = written(spread(others.select("node", "text"), "node").mapInArrow(
+        dealt = spread(others.select("node", "text"), "node").sortWithinPartitions("text")
+        gone = written(dealt.mapInArrow(
             absorbed, f"node {kinds['node']}, leader {kinds['node']}, score int"), "absorbed")
         taken.append(gone)
         rest = written(others.join(gone, "node", "left_anti"), "rest")
